@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, url_filter
+from . import mixing, order_minhash, sentencepiece_codec, url_filter
 
 QUERIES = {
+    "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
+    "op4_order_minhash": order_minhash.op4_order_minhash,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_url_filter": url_filter.op6_url_filter,
 }
