@@ -35,7 +35,7 @@ BLOCK = 128
 SLOTS = 4096
 SEED = 20240229
 #: Documents in a bucket of the prefix sums, about.
-BUCKET = 5_000
+BUCKET = 500
 ROUNDS = 16
 
 

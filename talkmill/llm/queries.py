@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, order_minhash, sentencepiece_codec, url_filter
+from . import language_id, mixing, order_minhash, quality_rules, sentencepiece_codec, url_filter
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
+    "op3_language_id": language_id.op3_language_id,
     "op4_order_minhash": order_minhash.op4_order_minhash,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_url_filter": url_filter.op6_url_filter,
+    "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 ORACLES = {"op6_url_filter": url_filter.OP6_SQL}
