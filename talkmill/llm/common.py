@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ASCII_LOWER = {ord(a): b for a, b in zip(UPPER, LOWER)}
 #: Rows of an Arrow batch; texts are long, so that the default of 10,000 rows would fill a worker.
 ARROW_ROWS = 500
 
@@ -38,7 +37,8 @@ def _odd(text: str) -> bool:
 
 
 def lower_ascii(text: str) -> str:
-    return text.translate(ASCII_LOWER)
+    """A-Z alone; bytes.lower() leaves other letters."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def ascii_lower(col: Column) -> Column:

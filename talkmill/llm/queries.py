@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_id, mixing, order_minhash, quality_rules, sentencepiece_codec, url_filter
+from . import language_id, mixing, ngram_join, order_minhash, quality_rules, sentencepiece_codec, url_filter
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
@@ -11,5 +11,6 @@ QUERIES = {
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_url_filter": url_filter.op6_url_filter,
     "op7_quality_rules": quality_rules.op7_quality_rules,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
 }
 ORACLES = {"op6_url_filter": url_filter.OP6_SQL}
