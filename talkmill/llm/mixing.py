@@ -18,8 +18,8 @@ Everything is seeded; a rerun gives the same rows. The order of words in a strea
 nothing depends on how files are split.
 
 Cases: null text has size 0 and takes nothing; a null source is a source of its own, last in order; rows that repeat are
-documents of their own; an empty table gives an empty result; only the named columns are read, and those in `carry` are
-returned, so further columns with clashing names do no harm.
+documents of their own; an empty table gives an empty result; only the named columns are read, so that further columns
+with clashing names do no harm.
 """
 
 from __future__ import annotations
@@ -82,13 +82,12 @@ def in_ranges(points: DataFrame, value: str, ranges: DataFrame, lo: str, hi: str
     return points.withColumn("_cell", cell(value)).join(spread, "_cell").where((F.col(value) >= F.col(lo)) & (F.col(value) < F.col(hi))).drop("_cell", lo, hi)
 
 
-def pack(docs: DataFrame, sources: DataFrame, n_docs: int, doc_id: str, carry: list[str], seed: int = SEED) -> DataFrame:
-    """docs: doc_id, source, size and `carry`. Adds s, source_size, target, n_blocks, bucket, row (unique in the bucket) and begin."""
+def pack(docs: DataFrame, sources: DataFrame, n_docs: int, doc_id: str, seed: int = SEED) -> DataFrame:
+    """docs: doc_id, source, size and th (a hash of the text). Adds s, source_size, target, n_blocks, bucket, row (unique in the bucket) and begin."""
     near = docs.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     buckets = max(1, -(-n_docs // BUCKET))
     near = near.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id)), F.lit(buckets)))
-    keys = [doc_id, "size", *([F.xxhash64("text")] if "text" in carry else [])]
-    w = W.partitionBy("s", "bucket").orderBy(*keys)
+    w = W.partitionBy("s", "bucket").orderBy(doc_id, "size", "th")
     near = near.withColumn("row", F.row_number().over(w)).withColumn("_inner", F.coalesce(F.sum("size").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     sums = docs.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source"))).withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id)), F.lit(buckets)))
     sums = sums.groupBy("s", "bucket").agg(F.sum("size").alias("_sum"))
@@ -128,15 +127,13 @@ def draw_slots(spark: SparkSession, sources: DataFrame, total: int, keep, slots:
     return out.withColumn("block", permuted(F.col("j") % F.col("n_blocks"), F.col("n_blocks"), F.lit(seed), F.col("s"), F.col("pass"))).drop("j", "n_blocks")
 
 
-def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", carry: tuple[str, ...] = (), weights: tuple[float, ...] = WEIGHTS, times: float = 1.5, most: float = 2.0, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """(packed, taken). packed: a row a document with doc_id, source, `carry`, size, source_size, target, s, bucket, row, begin.
-    taken: a row for each block that a slot reads and document in it: shard, slot, s, pass, block, bucket, row, first, words
-    (the document's words first ... first + words - 1)."""
+def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[float, ...] = WEIGHTS, times: float = 1.5, most: float = 2.0, block: int = BLOCK, slots: int = SLOTS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
+    """(packed, taken). packed: a row a document with doc_id, source, th (xxhash64 of its text), size, source_size, target, s,
+    bucket, row, begin. taken: a row for each block that a slot reads and document in it: shard, slot, s, pass, block, bucket,
+    row, first, words (the document's words first ... first + words - 1)."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), *([F.col(text).alias("text")] if "text" in carry else []), *[c for c in carry if c not in ("text", "doc_id", "source")])
-    if "text" not in carry:
-        sized = scratch.keep(sized)
+    sized = scratch.keep(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("th")))
     totals = scratch.keep(source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs")), weights, times, most))
     # a number of blocks for each source such that, at the mean length of its blocks, their words come nearest the target
     n_blocks = F.ceil(F.col("source_size") / F.lit(block))
@@ -144,7 +141,7 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     plan = totals.withColumn("n_blocks", n_blocks).withColumn("wanted", wanted)
     n_docs, total = plan.agg(F.coalesce(F.sum("n_docs"), F.lit(0)), F.coalesce(F.sum("wanted"), F.lit(0))).first()
     slots_read = draw_slots(spark, plan.select("s", "target", "n_blocks", "wanted"), total, scratch.keep, slots, seed)
-    packed = pack(sized, plan.select("source", "s", "source_size", "target"), n_docs, "doc_id", list(carry), seed)
+    packed = pack(sized, plan.select("source", "s", "source_size", "target"), n_docs, "doc_id", seed)
     spans = packed.where("size > 0").select("s", "bucket", "row", "begin", "size")
     spans = spans.withColumn("block", F.explode(F.sequence((F.col("begin") / block).cast("long"), ((F.col("begin") + F.col("size") - 1) / block).cast("long"))))
     lo = F.greatest(F.col("begin"), F.col("block") * block)
@@ -153,6 +150,21 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     return packed, slots_read.join(spans, ["s", "block"])
 
 
+def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **parameters) -> DataFrame:
+    """The mix as documents: for each document and pass over its source that takes words of it, a row with the columns of
+    docs and the words taken, in text order with the white space behind them; a document that is taken whole is unchanged."""
+    packed, taken = mix_sources(docs, doc_id, text, source, **parameters)
+    spans = taken.groupBy("s", "bucket", "row", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_spans"), F.sum("words").alias("_words"))
+    spans = spans.join(packed.select("s", "bucket", "row", F.col("doc_id").alias("_id"), "th", "size"), ["s", "bucket", "row"])
+    spans = spans.select("_id", "th", "size", "_spans", "_words")
+    own = docs.withColumn("_th", F.xxhash64(F.col(text))).dropDuplicates([doc_id, "_th"])  # rows that repeat: each has spans
+    joined = own.join(spans, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("th")))
+    pieces = F.regexp_extract_all(F.col(text), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    part = F.array_join(F.flatten(F.transform("_spans", lambda x: F.slice(pieces, (x["first"] + 1).cast("int"), x["words"].cast("int")))), "")
+    new = F.when(F.col("_words") == F.col("size"), F.col(text)).otherwise(part)
+    return joined.select(*[new.alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
+
+
 def op5_mix_sources(spark, sf_dir: str) -> DataFrame:
     packed, taken = mix_sources(documents(spark, sf_dir))
     sums = taken.groupBy("s", "bucket", "row").agg(F.sum("words").alias("taken"))

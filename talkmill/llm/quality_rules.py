@@ -76,10 +76,10 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
     return [n, chars, symbols, dup, repeats], shares
 
 
-def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the counts, the shares and base_failed."""
+def with_statistics(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """Adds the counts, the shares and base_failed; the text itself only goes on if asked for."""
     tune(docs.sparkSession)
-    names = {*COUNTS, *SHARES, "base_failed", "_text"}
+    names = {*COUNTS, *SHARES, "base_failed", "score", "kept", "_text", *([] if keep_text else [text])}
     kept = docs.select(F.col(text).alias("_text"), *[F.col(f"`{c}`") for c in docs.columns if c not in names])
     schema = T.StructType([*kept.schema.fields[1:], *[T.StructField(c, T.LongType()) for c in COUNTS], *[T.StructField(c, T.DoubleType()) for c in SHARES]])
 
@@ -159,12 +159,26 @@ def best_threshold(bins: pd.DataFrame, most_good: float = MOST_GOOD) -> float:
     return int(len(gain) - 1 - gain[::-1].argmax()) / BINS if gain.max() > 0 else 1.1
 
 
-def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES, sample: int = SAMPLE, seed: int = SEED, stats: DataFrame | None = None) -> DataFrame:
-    """The columns of docs but for the text, the counts, base_failed, score and kept. labels: doc_id, quality (1 good, 0 bad)."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
-    if stats is None:
-        stats = scratch.keep(with_statistics(docs, text))
+class Rules:
+    """A fitted forest and its threshold."""
+
+    def __init__(self, forest: IsolationForest, threshold: float):
+        self.forest, self.threshold = forest, threshold
+
+
+def _scorer(spark, forest: IsolationForest):
+    table = spark.sparkContext.broadcast(forest)
+
+    @F.pandas_udf("double")
+    def score(*columns: pd.Series) -> pd.Series:
+        return pd.Series(table.value.score(np.column_stack([c.to_numpy(float) for c in columns])))
+
+    return score(*SHARES)
+
+
+def fit(stats: DataFrame, labels: DataFrame, doc_id: str = "doc_id", trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> Rules:
+    """stats: from with_statistics, best written beforehand. labels: doc_id, quality (1 good, 0 bad)."""
+    spark = stats.sparkSession
     known = labels.where("doc_id is not null and quality is not null").select(F.col("doc_id").alias("_labelled"), (F.col("quality") == 1).alias("_good"))
     passed = stats.where(~F.col("base_failed")).select(F.col(doc_id).alias("_id"), *SHARES)
     labelled = passed.join(known, F.col("_id") == F.col("_labelled"))
@@ -172,18 +186,18 @@ def judge(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     points = pick(labelled.where("_good"))
     if not len(points):
         points = pick(passed)
-    forest = spark.sparkContext.broadcast(IsolationForest(points, trees, LEAF_SAMPLE, seed))
+    forest = IsolationForest(points, trees, LEAF_SAMPLE, seed)
+    bins = labelled.select("_good", F.floor(_scorer(spark, forest) * BINS).alias("bin")).groupBy("bin", "_good").agg(F.count("*").alias("n")).select("bin", F.col("_good").alias("good"), "n").toPandas()
+    return Rules(forest, best_threshold(bins))
 
-    @F.pandas_udf("double")
-    def score(*columns: pd.Series) -> pd.Series:
-        return pd.Series(forest.value.score(np.column_stack([c.to_numpy(float) for c in columns])))
 
-    bins = labelled.select("_good", F.floor(score(*SHARES) * BINS).alias("bin")).groupBy("bin", "_good").agg(F.count("*").alias("n")).select("bin", F.col("_good").alias("good"), "n").toPandas()
-    threshold = best_threshold(bins)
-    scored = stats.withColumn("score", score(*SHARES)).withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("score") * BINS) < F.lit(round(threshold * BINS))))
-    return scored.drop(*SHARES)
+def judge(stats: DataFrame, rules: Rules) -> DataFrame:
+    """Adds score and kept in place of the shares."""
+    out = stats.withColumn("score", _scorer(stats.sparkSession, rules.forest))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.floor(F.col("score") * BINS) < F.lit(round(rules.threshold * BINS)))).drop(*SHARES)
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text")
-    return judge(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select("doc_id", *COUNTS, "base_failed", "kept", "score")
+    stats = Scratch(spark).keep(with_statistics(documents(spark, sf_dir).select("doc_id", "text")))
+    rules = fit(stats, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judge(stats, rules).select("doc_id", *COUNTS, "base_failed", "kept", "score")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import katz, language_id, line_dedup, mixing, ngram_join, order_minhash, quality_rules, sentencepiece_codec, url_filter
+from . import katz, language_id, line_dedup, mixing, ngram_join, order_minhash, quality_rules, sentencepiece_codec, token_counts, url_filter
 
 QUERIES = {
     "op2_line_dedup": line_dedup.op2_line_dedup,
+    "op8_token_counts": token_counts.op8_token_counts,
     "op9_katz_scoring": katz.op9_katz_scoring,
     "op1_sentencepiece": sentencepiece_codec.op1_sentencepiece,
     "op3_language_id": language_id.op3_language_id,
