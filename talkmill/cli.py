@@ -53,7 +53,7 @@ def refine_command(spark: SparkSession, cfg: config.Config, name: str | None, ju
         if rows.isEmpty():
             continue  # stays pending
         base = path.rsplit("/", 1)[-1]
-        aside = f"{paths.removed_data_dir}/.judged/{base}"
+        aside = f"{paths.removed_data_dir}/judged/{base}"
         refine.refine(rows, judge, api.batch_size).write.mode("overwrite").parquet(aside)
         judged = spark.read.parquet(aside)
         # removed rows first: a file counts as done once its refined rows are there

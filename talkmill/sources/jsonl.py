@@ -24,14 +24,15 @@ def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     plain = [p for p in paths if not files.is_hidden(p)]
     out = spark.createDataFrame([], LINES)
     if plain:
-        raw = spark.read.text(plain).select(
-            F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), "value"
-        )
-        inner = F.row_number().over(W.partitionBy("path", "_at").orderBy("_id"))
-        sizes = raw.groupBy("path", "_at").agg(F.count("*").alias("_n"))
-        before = F.coalesce(F.sum("_n").over(W.partitionBy("path").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        starts = sizes.select("path", "_at", before.alias("_before"))
-        lines = raw.withColumn("_inner", inner).join(starts, ["path", "_at"])
+        where = F.col("_metadata.file_path")
+        # a file that Spark wrote is a folder of parts: the folder's name counts, and parts follow each other by name
+        name = F.coalesce(F.nullif(F.regexp_extract(where, r"([^/]+\.jsonl)/part-[^/]*$", 1), F.lit("")), F.col("_metadata.file_name"))
+        raw = spark.read.text(plain).select(name.alias("file"), where.alias("path"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), "value")
+        inner = F.row_number().over(W.partitionBy("file", "path", "_at").orderBy("_id"))
+        sizes = raw.groupBy("file", "path", "_at").agg(F.count("*").alias("_n"))
+        before = F.coalesce(F.sum("_n").over(W.partitionBy("file").orderBy("path", "_at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+        starts = sizes.select("file", "path", "_at", before.alias("_before"))
+        lines = raw.withColumn("_inner", inner).join(starts, ["file", "path", "_at"])
         out = lines.select("file", "path", (F.col("_inner") + F.col("_before")).alias("line_no"), "value")
     for p in paths:
         if files.is_hidden(p):
