@@ -156,12 +156,12 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     packed, taken = mix_sources(docs, doc_id, text, source, **parameters)
     spans = taken.groupBy("s", "bucket", "row", "pass").agg(F.sort_array(F.collect_list(F.struct("first", "words"))).alias("_spans"), F.sum("words").alias("_words"))
     spans = spans.join(packed.select("s", "bucket", "row", F.col("doc_id").alias("_id"), "th", "size"), ["s", "bucket", "row"])
-    spans = spans.select("_id", "th", "size", "_spans", "_words")
+    spans = spans.select("_id", F.col("th").alias("_hash"), (F.col("_words") == F.col("size")).alias("_whole"), "_spans")
     own = docs.withColumn("_th", F.xxhash64(F.col(text))).dropDuplicates([doc_id, "_th"])  # rows that repeat: each has spans
-    joined = own.join(spans, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("th")))
+    joined = own.join(spans, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_th") == F.col("_hash")))
     pieces = F.regexp_extract_all(F.col(text), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
     part = F.array_join(F.flatten(F.transform("_spans", lambda x: F.slice(pieces, (x["first"] + 1).cast("int"), x["words"].cast("int")))), "")
-    new = F.when(F.col("_words") == F.col("size"), F.col(text)).otherwise(part)
+    new = F.when(F.col("_whole"), F.col(text)).otherwise(part)
     return joined.select(*[new.alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
