@@ -18,8 +18,7 @@ def first_of(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def merged(rows: DataFrame, exact: bool = True) -> DataFrame:
     """rows: file, line_no, value (JSON). The first line of each canonical form, as it was written."""
-    keyed = rows.withColumn("canon", F.xxhash64(canonical(F.col("value"), exact))).withColumn("canon2", F.md5(canonical(F.col("value"), exact)))
-    keyed = keyed.withColumn("canon", F.concat(F.col("canon").cast("string"), F.col("canon2"))).drop("canon2")
+    keyed = rows.withColumn("canon", F.sha2(canonical(F.col("value"), exact), 256))
     return first_of(keyed, "canon", ["file", "line_no"]).drop("canon")
 
 
