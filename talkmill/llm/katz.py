@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, crc_mod, documents, lower_ascii, mix64, partitions, tune, words_of
 
 TOP = 5
-CHUNK = 2_000_000
+CHUNK = 1_000_000
 REMEMBER = 500_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: The start and the end of a text; no word has white space.
@@ -358,9 +358,8 @@ def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mod
     chunks = scratch.keep(chunk_table(rows, modulus, remainder, chunk_tokens))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a chunk is a row of megabytes
     try:
-        single = chunks.repartition(max(n, 1))
-        uni = scratch.keep(answer(ask(single, "words", bits), True, bool(store)))
-        bi = scratch.keep(answer(ask(single, "bigrams", bits), False, bool(store)))
+        uni = scratch.keep(answer(ask(chunks, "words", bits), True, bool(store)))
+        bi = scratch.keep(answer(ask(chunks, "bigrams", bits), False, bool(store)))
         if store:
             for order, table in ((1, uni), (2, bi)):
                 table.where("chunk = -2").select(F.lit(order).alias("order"), "bucket", F.col("owned").alias("keys"), "counts").write.mode("overwrite").partitionBy("order", "bucket").parquet(f"{store}/order{order}")
