@@ -5,8 +5,8 @@ its segmentations into pieces, found by a forward pass; that of a text is the pr
 reaches over a space. The piece probabilities are learned by expectation maximisation: forward and backward passes over
 the words of each language, weighted by their counts, give expected piece counts.
 
-Both passes run over all words of one length at once: the pieces at each pair of places are found by a rolling hash in
-an open table, so a pass costs a few array operations for each pair of places.
+Both passes run over all words of one length at once: pieces are found by a rolling hash in an open table of all pieces
+and their prefixes, and a word is only followed from a place as long as some piece begins so.
 
 Training reads every labelled text: counts of (language, word) are added up in the map tasks before they are shuffled;
 each round of the maximisation adds up at most pieces x languages numbers, which is all that the driver ever gets.
@@ -42,26 +42,28 @@ FLOOR = 0.01
 REMEMBER, COUNTED = 400_000, 200_000
 LETTER = re.compile(r"[^\W\d_]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: What a table lookup gives besides pieces.
+NONE, PREFIX = -1, -2
 
 
 class Vocabulary:
-    """Pieces as hashes of their code points, in an open-addressing table."""
+    """Pieces and their prefixes as hashes of their code points, in an open-addressing table."""
 
-    def __init__(self, pieces: list[str], byte_pieces: dict[int, int] | None = None):
-        self.n, self.longest = len(pieces), max(map(len, pieces), default=1)
-        bits = max(4, (4 * self.n).bit_length())
+    def __init__(self, pieces: list[str]):
+        self.n = len(pieces)
+        ids = {p: i for i, p in reversed(list(enumerate(pieces)))}
+        every = sorted({p[:k] for p in pieces for k in range(1, len(p) + 1)})
+        bits = max(4, (4 * len(every)).bit_length())
         self.mask = np.uint64((1 << bits) - 1)
-        keys, ids = np.zeros(1 << bits, np.uint64), np.full(1 << bits, -1, np.int32)
+        self.keys, self.ids = np.zeros(1 << bits, np.uint64), np.full(1 << bits, NONE, np.int32)
         self.probes = 0
-        for i, p in enumerate(pieces):
+        for p in every:
             h = self.hash(p)
             at, step = int(h & self.mask), 0
-            while ids[at] >= 0 and keys[at] != h:
+            while self.keys[at]:
                 at, step = (at + 1) & int(self.mask), step + 1
-            if ids[at] < 0:
-                keys[at], ids[at] = h, i
-                self.probes = max(self.probes, step)
-        self.keys, self.ids = keys, ids
+            self.keys[at], self.ids[at] = h, ids.get(p, PREFIX)
+            self.probes = max(self.probes, step)
         self.chars = np.array(sorted({ord(p) for p in pieces if len(p) == 1}), np.uint32)
 
     @staticmethod
@@ -73,17 +75,19 @@ class Vocabulary:
         return mix64(h)[0]
 
     def find(self, h: np.ndarray) -> np.ndarray:
-        """The piece of each hash, -1 where there is none."""
+        """The piece of each hash; PREFIX for what only begins a piece, NONE for all else."""
         at = h & self.mask
-        out = np.where(self.keys[at] == h, self.ids[at], -1)
-        miss = np.flatnonzero((out < 0) & (self.ids[at] >= 0))
+        key = self.keys[at]
+        out = np.where(key == h, self.ids[at], NONE)
+        miss = np.flatnonzero((key != h) & (key != 0))
         for _ in range(self.probes):
             if not len(miss):
                 break
             at[miss] = (at[miss] + np.uint64(1)) & self.mask
-            hit = self.keys[at[miss]] == h[miss]
+            key = self.keys[at[miss]]
+            hit = key == h[miss]
             out[miss[hit]] = self.ids[at[miss[hit]]]
-            miss = miss[~hit & (self.ids[at[miss]] >= 0)]
+            miss = miss[~hit & (key != 0)]
         return out
 
     def known(self, points: np.ndarray) -> np.ndarray:
@@ -105,31 +109,31 @@ class Lattice:
         self.length, self.n = len(words[0]) + 1, len(words)
         points = np.frombuffer("".join(META + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(self.n, self.length).T.copy()
         points[~vocab.known(points)] = 0  # a character that is no piece: the piece for all such
-        self.pieces: list[tuple[int, int, np.ndarray]] = []
+        #: (from, to, words, pieces): which words have which piece there
+        self.pieces: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         with np.errstate(over="ignore"):
             for i in range(self.length):
-                h = np.zeros(self.n, np.uint64)
-                for j in range(i + 1, min(self.length, i + vocab.longest) + 1):
-                    h = (h + points[j - 1].astype(np.uint64) + np.uint64(1)) * _BASE
+                on, h = np.arange(self.n), np.zeros(self.n, np.uint64)
+                for j in range(i + 1, self.length + 1):
+                    h = (h + points[j - 1][on].astype(np.uint64) + np.uint64(1)) * _BASE
                     found = vocab.find(mix64(h))
-                    if (found >= 0).any():
-                        self.pieces.append((i, j, found))
+                    some = np.flatnonzero(found != NONE)  # the others begin no piece
+                    if not len(some):
+                        break
+                    if len(some) < len(on):
+                        on, h, found = on[some], h[some], found[some]
+                    hit = np.flatnonzero(found >= 0)
+                    if len(hit):
+                        self.pieces.append((i, j, on[hit], found[hit].astype(np.int64)))
 
     def forward(self, p: np.ndarray) -> np.ndarray:
-        """p: pieces + 1 (the last is 0, for no piece) x languages. The forward sums: places x words x languages."""
+        """p: pieces x languages. The forward sums: places x words x languages."""
         alpha = np.zeros((self.length + 1, self.n, p.shape[1]))
         alpha[0] = 1.0
-        for i, j, found in self.pieces:
-            alpha[j] += alpha[i] * p[found]
+        for i, j, on, found in self.pieces:
+            alpha[j][on] += alpha[i][on] * p[found]
         return alpha
 
-    def backward(self, p: np.ndarray) -> np.ndarray:
-        beta = np.zeros((self.length + 1, self.n, p.shape[1]))
-        beta[self.length] = 1.0
-        for i, j, found in sorted(self.pieces, key=lambda x: -x[1]):
-            beta[i] += p[found] * beta[j]
-        return beta
-
 
 def cut(word: str) -> list[str]:
     """Very long words in parts."""
@@ -163,15 +167,14 @@ def expected(vocab: Vocabulary, p: np.ndarray, words: list[str], langs: np.ndarr
         lattice = Lattice(vocab, [parts[k][1] for k in group])
         alpha, beta = np.zeros((lattice.length + 1, len(own))), np.zeros((lattice.length + 1, len(own)))
         alpha[0] = beta[-1] = 1.0
-        probs = [(i, j, found, p[found, lang]) for i, j, found in lattice.pieces]
-        for i, j, _, q in probs:
-            alpha[j] += alpha[i] * q
-        for i, j, _, q in sorted(probs, key=lambda x: -x[1]):
-            beta[i] += q * beta[j]
+        probs = [(i, j, on, found, p[found, lang[on]]) for i, j, on, found in lattice.pieces]
+        for i, j, on, _, q in probs:
+            alpha[j][on] += alpha[i][on] * q
+        for i, j, on, _, q in sorted(probs, key=lambda x: -x[1]):
+            beta[i][on] += q * beta[j][on]
         scale = n / np.maximum(alpha[-1], 1e-300)
-        for i, j, found, q in probs:
-            w = alpha[i] * q * beta[j] * scale
-            out += np.bincount(found.astype(np.int64) % len(p) * p.shape[1] + lang, w, out.size).reshape(out.shape)
+        for i, j, on, found, q in probs:
+            np.add.at(out, (found, lang[on]), alpha[i][on] * q * beta[j][on] * scale[on])
     return out
 
 
@@ -212,8 +215,7 @@ def fit(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", roun
     counts = scratch.keep(word_counts(docs, text, lang))
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
     vocab = vocabulary(path)
-    p = np.full((vocab.n + 1, len(langs)), 1.0 / max(1, vocab.n))
-    p[-1] = 0.0
+    p = np.full((vocab.n, len(langs)), 1.0 / max(1, vocab.n))
     if not langs:
         return LanguageModel(path, langs, p)
     rows = counts.repartition(max(partitions(spark), 8))
@@ -226,18 +228,17 @@ def fit(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", roun
             for batch in batches:
                 lang = np.array([where[x] for x in batch.column(0).to_pylist()], np.int64)
                 total += expected(vocab, q, batch.column(1).to_pylist(), lang, batch.column(2).to_numpy().astype(float))
-            piece, lang = np.nonzero(total[:-1])
+            piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])], names=["piece", "lang", "n"])
 
         with_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")  # words are short
         try:
-            found = rows.mapInArrow(run, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toPandas()
+            found = rows.mapInArrow(run, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow().to_pandas()
         finally:
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_rows)
-        p = np.full((vocab.n + 1, len(langs)), FLOOR)
+        p = np.full((vocab.n, len(langs)), FLOOR)
         np.add.at(p, (found["piece"].to_numpy(), found["lang"].to_numpy()), found["n"].to_numpy())
-        p[-1] = 0.0
         p /= p.sum(axis=0)
         now.unpersist()
     scratch.drop(counts)
