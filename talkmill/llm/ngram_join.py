@@ -3,9 +3,9 @@
 A document's set holds its distinct shingles of `width` lower-cased words. Two documents link if their sets' Jaccard
 similarity is at least `percent`/100. Equal sets are one class from the start; all that follows is on classes.
 
-Prefixes. All shingles have one fixed order: by the magnitude of their estimated number of documents, then by hash. If
-two sets of n and m shingles overlap in o >= percent/100 * max(n, m), then for every l the first n - o + l of the one and
-m - o + l of the other share at least l shingles. Each class picks its l (1 to MOST_MATCH): reading the lists of a longer
+Prefixes. All shingles have one fixed order: by their estimated number of documents, then by hash. If two sets of n and m
+shingles link, they share at least o = percent / (100 + percent) * (n + m), and for every l the first n - o + l of the one
+and m - o + l of the other share at least l shingles. Each class picks its l (1 to MOST_MATCH): reading the lists of a longer
 prefix costs their estimated lengths, while at most (sum of those lengths) / l candidates can share l shingles, and each
 costs a verification; the l of least cost wins. For a pair the smaller l of the two counts, over the part of both
 prefixes that belongs to that l, so classes with different l meet in exactly the pairs that the filter lets through.
@@ -13,10 +13,12 @@ prefixes that belongs to that l, so classes with different l meet in exactly the
 The estimate is a sketch of fixed size (2 ** SKETCH_BITS counters) over the shingles of all documents; it only decides the
 order and the l, never what is found, so its errors at any size cost time, not links.
 
-Large groups. Within a list of more than STAR classes, each is first compared with one pivot (the class with fewest rare
-shingles: the original rather than a copy); what links with it forms components, and then only classes of the smaller
-components of a list are compared with what is in other components. So a group of g near copies costs about g pairs, and
-no link between components is lost. Links inside a component can't change it.
+Large groups. Each class of a list with more than STAR classes is first compared with the list's pivot (the class with fewest
+rare shingles: an original rather than a copy); what links with it forms components, and from then on only classes of
+different components are compared, those outside a list's largest component with the others. Two classes near the same
+pivot overlap in at most what each has of the pivot, plus what they share beyond it, so they only meet where they share a
+shingle that the pivot lacks (or where one is smaller than the pivot): a group of g near copies costs about g pairs, not
+their square, and no link between components is lost. Links inside a component can't change it.
 
 Cases: null text and text without words: empty set, linked with nothing, component its own id. Fewer than `width`
 words: the whole sequence is the one shingle. Rows with a null id have a null component and link with nothing. Rows that
@@ -32,7 +34,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, documents, lower_ascii, mix64, partitions, tune, words_of
@@ -41,6 +44,8 @@ from .components import connected
 SKETCH_BITS, SKETCH_BLOCKS = 24, 256
 MOST_MATCH, VERIFY_COST = 4, 8.0
 STAR = 16
+#: A class is near a pivot if at most this share of its shingles is not the pivot's.
+NEAR = 0.35
 #: Ids up to this number are sent to all executors to pick the sets to verify; beyond, they are joined.
 BROADCAST_IDS = 1_000_000
 REMEMBER = 500_000
@@ -107,7 +112,7 @@ def sketch(rows: DataFrame, width: int, bits: int = SKETCH_BITS) -> np.ndarray:
 def prefix_of(h: np.ndarray, df: np.ndarray, floor: float, percent: int, most_match: int = MOST_MATCH) -> tuple[np.ndarray, int, int]:
     """(the prefix of the chosen l, l, number of rare shingles). h: sorted hashes, df: their estimates, floor: what an estimate has from other shingles."""
     n = len(h)
-    order = np.lexsort((h, np.log2(df.astype(float) + 1).astype(np.int64)))
+    order = np.lexsort((h, df))
     one = n - -(-percent * n // 100) + 1
     excess = np.maximum(df[order].astype(float) - 1 - 2 * floor, 0.0)
     read = np.cumsum(excess)
@@ -146,11 +151,10 @@ def classes(rows: DataFrame, width: int, percent: int, counts: np.ndarray, bits:
 def sets_of(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(cid, h) of the classes in `wanted` (cid, rep), read again from the texts."""
     spark = rows.sparkSession
-    if (count := wanted.count()) <= BROADCAST_IDS:
-        ids = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in wanted.select("rep").distinct().collect()], np.int64)))
+    if wanted.count() <= BROADCAST_IDS:
+        ids = spark.sparkContext.broadcast(np.unique(wanted.select("rep").toArrow().column("rep").to_numpy()))
     else:
         ids, rows = None, rows.join(wanted.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
-    del count
 
     def run(batches):
         shingler = Shingler(width)
@@ -164,16 +168,37 @@ def sets_of(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "cid long, h array<long>").join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
 
 
-def verified(pairs: DataFrame, known: DataFrame, rows: DataFrame, width: int, percent: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) of classes whose sets link. known: cid, rep."""
+def compared(pairs: DataFrame, known: DataFrame, rows: DataFrame, width: int, scratch: Scratch, rest: bool = False) -> DataFrame:
+    """Pairs (a, b) of classes with o, the size of their sets' intersection; with `rest`, also what b's set has beyond a's, where
+    that is at most NEAR of it. known: cid, rep."""
     ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-    sets = scratch.keep(sets_of(rows, scratch.keep(known.join(ids, "cid", "left_semi").select("cid", "rep")), width))
-    left = pairs.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("h").alias("_a")), "a")
+    wanted = scratch.keep(known.join(ids, "cid", "left_semi").select("cid", "rep"))
+    sets = scratch.keep(sets_of(rows, wanted, width))
+    left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("h").alias("_a")), "a")
     both = left.join(sets.select(F.col("cid").alias("b"), F.col("h").alias("_b")), "b")
-    common = F.size(F.array_intersect("_a", "_b"))
-    links = scratch.keep(both.select("a", "b", common.alias("o"), (F.size("_a") + F.size("_b")).alias("t")).where(f"100 * o >= {percent} * (t - o)").select("a", "b"))
-    scratch.drop(sets)
-    return links
+    out = both.withColumn("o", F.size(F.array_intersect("_a", "_b")))
+    if rest:
+        near = F.size("_b") - F.col("o") <= NEAR * F.size("_b")
+        out = out.withColumn("rest", F.when(near, F.array_except("_b", "_a")))
+    out = scratch.keep(out.drop("_a", "_b"))
+    scratch.drop(sets, wanted)
+    return out
+
+
+def needed(n: str, m: str, percent: int) -> Column:
+    """The smallest intersection of linked sets of n and m shingles."""
+    return F.ceil(percent * (F.col(n) + F.col(m)) / (100 + percent))
+
+
+def across(members: DataFrame, on: list[str], attributes: list[str]) -> DataFrame:
+    """Pairs x, y of a list's members in different components, each once: those outside the component with most members of the
+    list, with all others. members: on, cid, comp, attributes."""
+    heads = members.groupBy(*on, "comp").agg(F.count("*").alias("_n")).groupBy(*on).agg(F.max(F.struct("_n", "comp")).alias("_top"), F.count("*").alias("_comps")).where("_comps > 1")
+    placed = members.join(heads.select(*on, F.col("_top.comp").alias("_t")), on).withColumn("minor", F.col("comp") != F.col("_t")).drop("_t")
+    names = ["cid", "comp", *attributes]
+    x = placed.where("minor").select(*on, *[F.col(c).alias(f"x_{c}") for c in names])
+    y = placed.select(*on, "minor", *[F.col(c).alias(f"y_{c}") for c in names])
+    return x.join(y, on).where("x_comp <> y_comp and (not minor or x_cid < y_cid)").drop("minor")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -182,41 +207,84 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     tune(spark)
     scratch = Scratch(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    every = classes(rows, width, percent, sketch(rows, width))
+    every = scratch.keep(classes(rows, width, percent, sketch(rows, width)))
     # one row a class: equal sets have equal prefixes
     members = scratch.keep(every.where("cid is not null and id is not null").groupBy("cid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("match").alias("match"), F.first("prefix").alias("prefix")))
-    one = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    entries = members.select("cid", "n", "rare", "match", one.alias("_one"), F.posexplode("prefix").alias("_at", "sh"))
-    entries = entries.withColumn("level", F.greatest(F.lit(1), F.col("_at") - F.col("_one") + 2).cast("int")).drop("_at", "_one")
+    every_ = scratch.keep(every.select("id", "cid", "n"))
+    scratch.drop(every)
+    known = members.select("cid", "rep")
+    entries = members.select("cid", "n", "rare", "match", F.posexplode("prefix").alias("at", "sh"))
     lists = entries.groupBy("sh").agg(F.count("*").alias("size"), F.min(F.struct("rare", "cid", "n")).alias("pivot")).where("size > 1")
     met = scratch.keep(entries.join(lists, "sh"))
     fits = lambda a, b: f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
-    known = members.select("cid", "rep")
-    stars = met.where(f"size > {STAR} and cid <> pivot.cid").where(fits("n", "pivot.n")).select(F.least("cid", "pivot.cid").alias("a"), F.greatest("cid", "pivot.cid").alias("b"))
-    stars = scratch.keep(stars.distinct())
-    links = verified(stars, known, rows, width, percent, scratch)
+    smaller = lambda df, x, y: df.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+    # 1. large lists: each class with the list's pivot
+    stars = met.where(f"size > {STAR} and cid <> pivot.cid").where(fits("n", "pivot.n"))
+    stars = scratch.keep(stars.select(F.col("pivot.cid").alias("a"), F.col("cid").alias("b"), F.col("pivot.n").alias("a_n"), F.col("n").alias("b_n")).distinct())
+    starred = compared(stars, known, rows, width, scratch, True)
+    links = scratch.keep(starred.where(F.col("o") >= needed("a_n", "b_n", percent)).select("a", "b"))
     comps = connected(links, scratch)
-    placed = scratch.keep(met.select("sh", "cid", "n", "match", "level").join(comps.select(F.col("id").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid")))
-    # in each list, the component with most classes is only compared with the others
-    heads = placed.groupBy("sh", "comp").agg(F.count("*").alias("_n")).groupBy("sh").agg(F.max(F.struct("_n", "comp")).alias("_top"), F.count("*").alias("_comps")).where("_comps > 1")
-    placed = placed.join(heads.select("sh", F.col("_top.comp").alias("top")), "sh").withColumn("minor", F.col("comp") != F.col("top")).drop("top")
-    placed = scratch.keep(placed)
-    x = placed.where("minor").select("sh", *[F.col(c).alias(f"x_{c}") for c in ("cid", "n", "match", "level", "comp")])
-    y = placed.select("sh", *[F.col(c).alias(f"y_{c}") for c in ("cid", "n", "match", "level", "comp", "minor")])
-    pairs = x.join(y, "sh").where("x_comp <> y_comp and (not y_minor or x_cid < y_cid)").where(fits("x_n", "y_n"))
-    pairs = pairs.select(F.least("x_cid", "y_cid").alias("a"), F.greatest("x_cid", "y_cid").alias("b"), F.least("x_match", "y_match").alias("match"), F.greatest("x_level", "y_level").alias("level"))
-    pairs = pairs.where("level <= match").groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("match").alias("match")).where("shared >= match")
-    pairs = scratch.keep(pairs.select("a", "b").join(stars, ["a", "b"], "left_anti"))
-    more = verified(pairs, known, rows, width, percent, scratch)
-    comps = connected(links.union(more), scratch)
+    comp = lambda df: df.join(comps.select(F.col("id").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+
+    # 2. what lists have in common, by prefixes: all pairs of small lists; in large ones those not both near the pivot
+    near = starred.where("rest is not null").select(F.col("a").alias("p"), F.col("b").alias("cid")).withColumn("near", F.lit(True))
+    placed = met.select("sh", "cid", "n", "match", "at", F.when(F.col("size") > STAR, F.col("pivot.cid")).alias("p"))
+    placed = placed.join(near, ["p", "cid"], "left").withColumn("near", F.coalesce("near", F.coalesce(F.col("p") == F.col("cid"), F.lit(False))))
+    placed = scratch.keep(comp(placed.drop("p")))
+    # a large list whose classes are all near its pivot has nothing to do here
+    open_ = placed.groupBy("sh").agg(F.bool_and("near").alias("_all")).where("not _all").select("sh")
+    pairs = across(placed.join(open_, "sh", "left_semi"), ["sh"], ["n", "match", "at", "near"]).where("not (x_near and y_near)").where(fits("x_n", "y_n"))
+    l = F.least("x_match", "y_match")
+    inside = (F.col("x_at") < F.col("x_n") - needed("x_n", "y_n", percent) + l) & (F.col("y_at") < F.col("y_n") - needed("x_n", "y_n", percent) + l)
+    pairs = pairs.where(inside).select(F.least("x_cid", "y_cid").alias("a"), F.greatest("x_cid", "y_cid").alias("b"), l.alias("match"))
+    pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("match").alias("match")).where("shared >= match").select("a", "b")
+
+    # 3. classes near the same pivot p: they overlap in at most what each shares with p, and what they share beyond p
+    o = F.least("x_o", "y_o")
+    beyond = starred.where("rest is not null").select(F.col("a").alias("p"), F.col("b").alias("cid"), F.col("b_n").alias("n"), "o", F.col("a_n"), "rest")
+    beyond = scratch.keep(comp(beyond))
+    # they must share needed - o of those; in one order, rarest first, two sets of that much overlap share one that lies in the
+    # first size - overlap + 1 of either
+    tokens = beyond.withColumn("size", F.size("rest")).withColumn("z", F.explode("rest")).drop("rest")
+    counts = tokens.groupBy("p", "z").agg(F.count("*").alias("df")).where("df > 1")
+    ordered = tokens.join(counts, ["p", "z"]).withColumn("back", F.row_number().over(W.partitionBy("p", "cid").orderBy(F.desc("df"), F.desc("z"))))
+    least_need = needed("x_n", "y_n", percent) - o
+    rare = (F.col("x_back") >= least_need) & (F.col("y_back") >= least_need)  # shingles that no other has come first, unnumbered
+    deltas = across(ordered, ["p", "z"], ["n", "o", "back"]).where(fits("x_n", "y_n")).where(rare)
+    found = scratch.keep(deltas.select("p", "x_cid", "y_cid").distinct())
+    # how much they share beyond p, exactly, for the pairs found
+    sides = beyond.select("p", F.col("cid"), "n", "o", "rest")
+    x = sides.select("p", *[F.col(c).alias(f"x_{c}") for c in ("cid", "n", "o", "rest")])
+    y = sides.select("p", *[F.col(c).alias(f"y_{c}") for c in ("cid", "n", "o", "rest")])
+    deltas = found.join(x, ["p", "x_cid"]).join(y, ["p", "y_cid"]).where(o + F.size(F.array_intersect("x_rest", "y_rest")) >= needed("x_n", "y_n", percent))
+    # without anything beyond p: only with a class smaller than p, since the one that p does not link has too little of p
+    small = beyond.drop("rest")
+    tight = across_smaller(small, percent).where(fits("x_n", "y_n"))
+    pairs = pairs.unionByName(smaller(deltas, "x_cid", "y_cid")).unionByName(smaller(tight, "x_cid", "y_cid")).distinct()
+    pairs = scratch.keep(pairs.join(smaller(stars, "a", "b"), ["a", "b"], "left_anti"))
+    sizes = members.select("cid", "n")
+    sized = pairs.join(sizes.select(F.col("cid").alias("a"), F.col("n").alias("a_n")), "a").join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("b_n")), "b")
+    more = compared(sized, known, rows, width, scratch)
+    comps = connected(links.union(more.where(F.col("o") >= needed("a_n", "b_n", percent)).select("a", "b")), scratch)
+
     # the smallest document of each component; then of each row's class
-    where = known.join(comps.select(F.col("id").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    where = comp(known)
     least = where.groupBy("comp").agg(F.min("rep").alias("least"))
-    final = where.join(least, "comp").select("cid", "least")
-    out = scratch.keep(every.select("id", "cid", "n")).join(final, "cid", "left")
-    scratch.drop(met, placed, pairs, stars)
+    final = scratch.keep(where.join(least, "comp").select("cid", "least"))
+    scratch.drop(met, placed, pairs, stars, starred, beyond, members)
+    out = every_.join(final, "cid", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("least", "id")).alias("component_id"))
 
 
+def across_smaller(near: DataFrame, percent: int) -> DataFrame:
+    """Pairs near a pivot p (p, cid, comp, n, o, a_n: p's size) in different components whose intersections with p alone
+    suffice. If p does not link x, this needs a y with fewer shingles than p; and not both can be linked with p."""
+    cols = ["cid", "comp", "n", "o"]
+    x = near.where(F.col("o") < needed("n", "a_n", percent)).select("p", *[F.col(c).alias(f"x_{c}") for c in cols])
+    y = near.where("n < a_n").select("p", *[F.col(c).alias(f"y_{c}") for c in cols])
+    return x.join(y, "p").where("x_comp <> y_comp and x_cid <> y_cid").where(F.least("x_o", "y_o") >= needed("x_n", "y_n", percent))
+
+
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
