@@ -137,6 +137,24 @@ def test_line_dedup_of_a_group_of_near_copies(spark):
     assert out.where("text <> ''").count() <= 3 and out.where("doc_id = 0 and text <> ''").count() == 1
 
 
+def test_line_dedup_meets_lines_that_differ_in_whole_words(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9)))
+    pairs = []
+    for n in (5, 6, 10, 20, 50):
+        for _ in range(60):
+            a = [word() for _ in range(n)]
+            b = list(a)
+            for i in rng.sample(range(n), max(1, n // 7)):
+                b[i] = word()
+            a, b = " ".join(a), " ".join(b)
+            pairs.append((a, b, 100 * (max(len(a), len(b)) - levenshtein(a, b)) >= 80 * max(len(a), len(b))))
+    df = spark.createDataFrame([(2 * i + k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)], "doc_id long, text string")
+    gone = {r.doc_id for r in line_dedup.dedup_lines(df).where("n_removed > 0").collect()}
+    true = {2 * i + 1 for i, (_, _, like) in enumerate(pairs) if like}
+    assert gone <= true and len(true) > 200 and len(gone) >= 0.97 * len(true)
+
+
 def test_blocks_find_all_within_reach():
     rng = random.Random(1)
     edges = [64 * i // line_dedup.BLOCKS for i in range(line_dedup.BLOCKS + 1)]
