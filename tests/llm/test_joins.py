@@ -155,6 +155,12 @@ def test_line_dedup_meets_lines_that_differ_in_whole_words(spark):
     assert gone <= true and len(true) > 200 and len(gone) >= 0.97 * len(true)
 
 
+def test_line_dedup_keeps_documents_with_short_lines(spark):
+    rows = [(1, LONG), (2, f"{LONG}\nmilk and eggs\nbread"), (3, f"{LONG}\n -- \n"), (4, f"{LONG}\n\u4eca\u65e5\u306f\u3044\u3044\u5929\u6c17"), (5, "\u2026"), (6, LONG)]
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), drop_emptied=True).collect()
+    assert {r.doc_id: r.text for r in out} == {1: LONG, 2: "milk and eggs\nbread", 4: rows[3][1].split("\n")[1], 5: "\u2026"}
+
+
 def test_blocks_find_all_within_reach():
     rng = random.Random(1)
     edges = [64 * i // line_dedup.BLOCKS for i in range(line_dedup.BLOCKS + 1)]
