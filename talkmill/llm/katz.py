@@ -21,7 +21,7 @@ arrays rather than of a row for each token:
 
 So the corpus statistics grow with the corpus but are spread over buckets; a worker holds one chunk or one bucket. Hot
 words, histories and bigrams are one entry a chunk. With `store`, the count tables are written there, partitioned by order
-and bucket. Order 2 is the highest: n-grams of order 3 of open vocabularies hardly repeat, and each order is as large again.
+and bucket. Order 2 is the highest, which is a limit: longer contexts repeat, and back-off here is one step.
 
 Words are told apart by hashes of 64 bits, and so are bigrams.
 
