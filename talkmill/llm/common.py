@@ -6,9 +6,11 @@ import re
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows of an Arrow batch; texts are long, so that the default of 10,000 rows would fill a worker.
-ARROW_ROWS = 500
+#: Rows and bytes that a function takes of an Arrow batch at once; Spark's batches may have 10,000 rows and 64 MB.
+ARROW_ROWS, ARROW_BYTES = 500, 4 << 20
 
 _SPACE = dict.fromkeys(map(ord, "\t\n\x0b\x0c\r"), " ")
 
@@ -62,6 +64,14 @@ def tune(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of so many rows, and of about so many bytes, at most: what Python makes of a part stays small."""
+    for batch in batches:
+        step = max(1, min(rows, batch.num_rows * size // max(1, batch.nbytes)))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is unset."""
     where = spark.conf.get("spark.checkpoint.dir", None)
@@ -114,6 +124,11 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def bucket_bits(spark: SparkSession) -> int:
+    """Leading bits of a hash that number the buckets: two to four a shuffle partition, 16 at least."""
+    return max(4, (2 * partitions(spark) - 1).bit_length())
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     tune(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -352,7 +352,7 @@ def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mod
     tune(spark)
     scratch = Scratch(spark)
     n = partitions(spark)
-    bits = max(4, (2 * n - 1).bit_length())
+    bits = bucket_bits(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     chunks = scratch.keep(chunk_table(rows, modulus, remainder, chunk_tokens))

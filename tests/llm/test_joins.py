@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from talkmill.llm import line_dedup, ngram_join
+from talkmill.llm import edit_distance, line_dedup, ngram_join
 from talkmill.llm.common import Scratch, words_of
 from talkmill.llm.components import connected
 
@@ -95,10 +95,17 @@ def levenshtein(a, b):
 
 def test_edit_distance():
     rng = random.Random(0)
-    for _ in range(1500):
-        a, b = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 11))) for _ in range(2))
-        assert line_dedup.edit_distance(a, b) == levenshtein(a, b)
-    assert line_dedup.edit_distance("a" * 20000 + "x" + "b" * 20000, "a" * 20000 + "yy" + "b" * 20000) == 2
+    for _ in range(1200):
+        a, b = ("".join(rng.choice("ab c") for _ in range(rng.choice([0, 1, 5, 11, 63, 64, 65, 130]))) for _ in range(2))
+        true = levenshtein(a, b)
+        assert edit_distance.edit_distance(a, b) == true <= edit_distance.by_words(a, b, 10**6)
+        for most in (3, 30, 60):
+            got = edit_distance.edit_distance(a, b, most)
+            assert got == true or min(got, true) > most
+        assert edit_distance.similar(a, b, 60) == (100 * (max(len(a), len(b)) - true) >= 60 * max(len(a), len(b)))
+    assert edit_distance.edit_distance("a" * 20000 + "x" + "b" * 20000, "a" * 20000 + "yy" + "b" * 20000) == 2
+    long = " ".join(str(i * 7919 % 10007) for i in range(3000))
+    assert edit_distance.similar(long, long.replace("77", "x"), 80) and not edit_distance.similar(long, long[::-1], 80)
 
 
 LONG = "the quick brown fox jumps over the lazy dog near the river bank while many small birds sing in the tall old trees at dawn and the sun comes up over hills far away"
@@ -112,8 +119,8 @@ def test_line_dedup(spark):
     ]
     df = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id long, text string, n_lines string")
     got = {(r.doc_id, r.n_lines): (r.text, r.n_removed) for r in line_dedup.dedup_lines(df, percent=90).collect()}
-    assert got[1, 3] == (rows[0][1], 0)
-    assert got[2, 3] == ("alpha beta gamma delta epsilon\nshort line", 1)
+    assert got[1, 3] == (f"{LONG}\nshort line", 1)  # a short line goes as an exact repeat
+    assert got[2, 3] == ("alpha beta gamma delta epsilon", 2)
     assert got[3, 1] == ("", 1)
     assert got[4, 0] == (None, 0) and got[5, 1] == ("", 0)
     assert got[6, 4] == ("tail of text that is its own\n\n", 1)
