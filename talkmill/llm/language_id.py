@@ -10,13 +10,13 @@ and their prefixes, and a word is only followed from a place as long as some pie
 
 Training reads every labelled text: counts of (language, word) are added up in the map tasks before they are shuffled;
 each round of the maximisation adds up at most pieces x languages numbers, which is all that the driver ever gets.
-Words longer than MAX_WORD characters are scored in pieces of that length (learning skips nothing either: they are cut
-alike). A text's score is the posterior of its best language under equal priors, with the log-likelihoods divided by
+Words of any length are summed whole, with sums scaled every STRIDE characters so that none vanishes; a word takes time in
+proportion to its length. A character that is no piece is its UTF-8 bytes, which the vocabulary has as pieces. A text's score is the posterior of its best language under equal priors, with the log-likelihoods divided by
 the square root of the number of words, since words are not independent.
 
 Cases: null text, or one without a letter: und, score 0. A training table without a single labelled word: all und.
-A null language labels nothing. Ties go to the language that is first by code point. Rows that repeat count each time.
-Letters are those of str.isalpha. Other columns stay unless an output column has their name.
+Letters are those of str.isalpha (so number signs are none). A null language labels nothing. Ties go to the language that is first by code point. Rows that repeat count each time.
+Other columns stay unless an output column has their name.
 """
 
 from __future__ import annotations
@@ -31,21 +31,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, documents, held_out, mix64, partitions, tune, words_of
-from .sentencepiece_codec import BYTE, META, NORMAL, model, public_model
+from .common import Scratch, documents, held_out, mix64, partitions, small, words_of
+from .sentencepiece_codec import META, NORMAL, model, public_model
 
 ROUNDS = 2
-MAX_WORD = 40
+#: Characters after which the sums over a word's segmentations are scaled anew.
+STRIDE = 32
 #: Added to the expected count of each piece of a language.
 FLOOR = 0.01
 #: Distinct words that a worker remembers the scores of, and that a map task counts before it hands them on.
 REMEMBER, COUNTED = 400_000, 200_000
+#: Rows and bytes of texts whose new words are looked up together.
+TOGETHER = (5000, 16 << 20)
 LETTER = re.compile(r"[^\W\d_]")
+#: Stand for the 256 bytes: lone surrogates, which no text has.
+BYTES = [chr(0xDC00 + b) for b in range(256)]
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: What a table lookup gives besides pieces.
 NONE, PREFIX = -1, -2
 
 
+class Spelling(dict):
+    """For str.translate: characters that are pieces stay, all others become their bytes."""
+
+    def __init__(self, chars):
+        super().__init__((ord(c), c) for c in chars)
+
+    def __missing__(self, point: int) -> str:
+        return "".join(BYTES[b] for b in chr(point).encode("utf-8", "surrogatepass"))
+
+
 class Vocabulary:
     """Pieces and their prefixes as hashes of their code points, in an open-addressing table."""
 
@@ -64,7 +79,8 @@ class Vocabulary:
                 at, step = (at + 1) & int(self.mask), step + 1
             self.keys[at], self.ids[at] = h, ids.get(p, PREFIX)
             self.probes = max(self.probes, step)
-        self.chars = np.array(sorted({ord(p) for p in pieces if len(p) == 1}), np.uint32)
+        self.longest = max(map(len, pieces), default=1)
+        self.spelled = Spelling(p for p in pieces if len(p) == 1)
 
     @staticmethod
     def hash(piece: str) -> np.uint64:
@@ -90,31 +106,25 @@ class Vocabulary:
             miss = miss[~hit & (key != 0)]
         return out
 
-    def known(self, points: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.chars, points), len(self.chars) - 1)
-        return self.chars[at] == points
-
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
-    """The pieces of a model's file; its byte pieces stand for characters that no piece holds, as one piece for all."""
-    m = model(path)
-    return Vocabulary([p for p, kind in m.pieces if kind == NORMAL] + ["\0"])
+    """The pieces of a model's file, and the 256 bytes."""
+    return Vocabulary([p for p, kind in model(path).pieces if kind == NORMAL] + BYTES)
 
 
 class Lattice:
-    """Words of one length (with the meta symbol in front) and the pieces at each pair of places."""
+    """Spelled words of one length (with the meta symbol in front) and the pieces at each pair of places."""
 
     def __init__(self, vocab: Vocabulary, words: list[str]):
-        self.length, self.n = len(words[0]) + 1, len(words)
-        points = np.frombuffer("".join(META + w for w in words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(self.n, self.length).T.copy()
-        points[~vocab.known(points)] = 0  # a character that is no piece: the piece for all such
+        self.length, self.n, self.reach = len(words[0]), len(words), vocab.longest
+        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(self.n, self.length).T.copy()
         #: (from, to, words, pieces): which words have which piece there
         self.pieces: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         with np.errstate(over="ignore"):
             for i in range(self.length):
                 on, h = np.arange(self.n), np.zeros(self.n, np.uint64)
-                for j in range(i + 1, self.length + 1):
+                for j in range(i + 1, min(i + self.reach, self.length) + 1):
                     h = (h + points[j - 1][on].astype(np.uint64) + np.uint64(1)) * _BASE
                     found = vocab.find(mix64(h))
                     some = np.flatnonzero(found != NONE)  # the others begin no piece
@@ -126,75 +136,91 @@ class Lattice:
                     if len(hit):
                         self.pieces.append((i, j, on[hit], found[hit].astype(np.int64)))
 
-    def forward(self, p: np.ndarray) -> np.ndarray:
-        """p: pieces x languages. The forward sums: places x words x languages."""
-        alpha = np.zeros((self.length + 1, self.n, p.shape[1]))
-        alpha[0] = 1.0
-        for i, j, on, found in self.pieces:
-            alpha[j][on] += alpha[i][on] * p[found]
-        return alpha
-
+    def sums(self, steps: list[tuple[int, int, np.ndarray, np.ndarray]], width: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+        """(sums, logs of their scales) at each place over all ways there by steps (from, to, words, probabilities), sorted by
+        where they begin. What is scaled at a place is all that steps before it have reached."""
+        sums, scale = np.zeros((self.length + 1, self.n, *width)), np.zeros((self.length // STRIDE + 1, self.n, *width))
+        sums[0] = 1.0
+        done = 0
+        for i, j, on, q in steps:
+            while done < i // STRIDE:
+                done += 1
+                self._scale(sums, scale, done)
+            sums[j][on] += sums[i][on] * q
+        while done < self.length // STRIDE:
+            done += 1
+            self._scale(sums, scale, done)
+        return sums, scale
+
+    def _scale(self, sums: np.ndarray, scale: np.ndarray, k: int) -> None:
+        part = sums[k * STRIDE : k * STRIDE + self.reach]
+        most = part.max(axis=0)
+        most[most == 0] = 1.0
+        part /= most
+        scale[k] = scale[k - 1] + np.log(most)
 
-def cut(word: str) -> list[str]:
-    """Very long words in parts."""
-    return [word] if len(word) < MAX_WORD else [word[i : i + MAX_WORD - 1] for i in range(0, len(word), MAX_WORD - 1)]
+    def forward(self, p: np.ndarray) -> np.ndarray:
+        """p: pieces x languages. The logs of the words' probabilities: words x languages."""
+        sums, scale = self.sums([(i, j, on, p[found]) for i, j, on, found in self.pieces], (p.shape[1],))
+        return np.log(np.maximum(sums[-1], 1e-300)) + scale[-1]
+
+    def expected(self, p: np.ndarray, lang: np.ndarray, n: np.ndarray, out: np.ndarray) -> None:
+        """Adds to out (pieces x languages) how often each piece is expected in words of the given languages and counts."""
+        steps = [(i, j, on, p[found, lang[on]]) for i, j, on, found in self.pieces]
+        alpha, a_log = self.sums(steps, ())
+        beta, b_log = self.sums([(self.length - j, self.length - i, on, q) for i, j, on, q in sorted(steps, key=lambda x: -x[1])], ())
+        whole = np.log(np.maximum(alpha[-1], 1e-300)) + a_log[-1]
+        for (i, j, on, q), (_, _, _, found) in zip(steps, self.pieces):
+            k = self.length - j
+            share = alpha[i][on] * q * beta[k][on] * np.exp(a_log[i // STRIDE][on] + b_log[k // STRIDE][on] - whole[on])
+            np.add.at(out, (found, lang[on]), share * n[on])
 
 
 def by_length(words: list[str], most: int = 20_000) -> list[list[int]]:
+    """Places of words of one length; groups of long words are smaller, to bound their tables."""
     groups: dict[int, list[int]] = {}
     for k, w in enumerate(words):
         groups.setdefault(len(w), []).append(k)
-    return [g[i : i + most] for g in groups.values() for i in range(0, len(g), most)]
+    return [g[i : i + step] for x, g in groups.items() for step in [max(1, min(most, 500_000 // (x + 1)))] for i in range(0, len(g), step)]
 
 
 def log_probabilities(vocab: Vocabulary, p: np.ndarray, words: list[str]) -> np.ndarray:
     """The log of each word's probability, all segmentations summed: words x languages."""
     out = np.zeros((len(words), p.shape[1]))
-    parts = [(k, x) for k, w in enumerate(words) for x in cut(w)]
-    for group in by_length([x for _, x in parts]):
-        sums = Lattice(vocab, [parts[k][1] for k in group]).forward(p)[-1]
-        np.add.at(out, [parts[k][0] for k in group], np.log(np.maximum(sums, 1e-300)))
+    spelled = [META + w.translate(vocab.spelled) for w in words]
+    for group in by_length(spelled):
+        out[group] = Lattice(vocab, [spelled[k] for k in group]).forward(p)
     return out
 
 
 def expected(vocab: Vocabulary, p: np.ndarray, words: list[str], langs: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Expected counts of the pieces by language (pieces x languages) for words of the given languages and counts."""
-    out = np.zeros((len(p), p.shape[1]))
-    parts = [(k, x) for k, w in enumerate(words) for x in cut(w)]
-    for group in by_length([x for _, x in parts]):
-        own = np.array([parts[k][0] for k in group])
-        lang, n = langs[own], counts[own]
-        lattice = Lattice(vocab, [parts[k][1] for k in group])
-        alpha, beta = np.zeros((lattice.length + 1, len(own))), np.zeros((lattice.length + 1, len(own)))
-        alpha[0] = beta[-1] = 1.0
-        probs = [(i, j, on, found, p[found, lang[on]]) for i, j, on, found in lattice.pieces]
-        for i, j, on, _, q in probs:
-            alpha[j][on] += alpha[i][on] * q
-        for i, j, on, _, q in sorted(probs, key=lambda x: -x[1]):
-            beta[i][on] += q * beta[j][on]
-        scale = n / np.maximum(alpha[-1], 1e-300)
-        for i, j, on, found, q in probs:
-            np.add.at(out, (found, lang[on]), alpha[i][on] * q * beta[j][on] * scale[on])
+    out = np.zeros(p.shape)
+    spelled = [META + w.translate(vocab.spelled) for w in words]
+    for group in by_length(spelled):
+        Lattice(vocab, [spelled[k] for k in group]).expected(p, langs[group], counts[group], out)
     return out
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in LETTER.finditer(text))
+
+
 def word_counts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """(lang, word, n) over all rows with a language, added up before and after the shuffle."""
 
     def run(batches):
-        counts: Counter = Counter()
+        counts: dict[str, Counter] = {}
 
         def flush():
-            keys = list(counts)
-            cols = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([counts[k] for k in keys], pa.int64())]
+            keys = [(lang, w, n) for lang, words in counts.items() for w, n in words.items()]
             counts.clear()
-            return pa.RecordBatch.from_arrays(cols, names=["lang", "word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*keys) if keys else [[]] * 3, (pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
 
-        for batch in batches:
+        for batch in small(batches):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w, n in Counter(words_of(text)).items():
-                    counts[lang, w] += n
-            if len(counts) > COUNTED:
+                counts.setdefault(lang, Counter()).update(words_of(text))
+            if sum(map(len, counts.values())) > COUNTED:
                 yield flush()
         yield flush()
 
@@ -210,7 +236,6 @@ class LanguageModel:
 def fit(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", rounds: int = ROUNDS) -> LanguageModel:
     """Learns from all rows with a language. On the driver: the languages and, each round, the pieces' expected counts."""
     spark = docs.sparkSession
-    tune(spark)
     scratch = Scratch(spark)
     counts = scratch.keep(word_counts(docs, text, lang))
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
@@ -225,18 +250,13 @@ def fit(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", roun
         def run(batches, now=now):
             vocab, q, where = vocabulary(path), now.value.astype(np.float64), {x: i for i, x in enumerate(langs)}
             total = np.zeros(q.shape)
-            for batch in batches:
+            for batch in small(batches, 50_000):
                 lang = np.array([where[x] for x in batch.column(0).to_pylist()], np.int64)
                 total += expected(vocab, q, batch.column(1).to_pylist(), lang, batch.column(2).to_numpy().astype(float))
             piece, lang = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(piece, pa.int32()), pa.array(lang, pa.int32()), pa.array(total[piece, lang])], names=["piece", "lang", "n"])
 
-        with_rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")  # words are short
-        try:
-            found = rows.mapInArrow(run, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow().to_pandas()
-        finally:
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_rows)
+        found = rows.mapInArrow(run, "piece int, lang int, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n")).toArrow().to_pandas()
         p = np.full((vocab.n, len(langs)), FLOOR)
         np.add.at(p, (found["piece"].to_numpy(), found["lang"].to_numpy()), found["n"].to_numpy())
         p /= p.sum(axis=0)
@@ -245,10 +265,22 @@ def fit(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", roun
     return LanguageModel(path, langs, p)
 
 
+class Numbers(dict):
+    """Numbers words as they come; `new` lists those whose scores are not known yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        k = self[word] = len(self)
+        self.new.append(word)
+        return k
+
+
 def predict(docs: DataFrame, learned: LanguageModel, text: str = "text") -> DataFrame:
     """Adds lang_pred and score."""
     spark = docs.sparkSession
-    tune(spark)
     kept = docs.select(F.col(text).alias("_text"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "_text")])
     schema = T.StructType([*kept.schema.fields[1:], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     path, langs = learned.path, learned.langs
@@ -256,23 +288,21 @@ def predict(docs: DataFrame, learned: LanguageModel, text: str = "text") -> Data
 
     def run(batches):
         vocab, p = vocabulary(path), table.value.astype(np.float64)
-        known: dict[str, int] = {}
-        scores = np.zeros((0, len(langs)))
-        for batch in batches:
+        known, scores = Numbers(), np.zeros((0, len(langs)))
+        for batch in small(batches, *TOGETHER):
             if len(known) > REMEMBER:
-                known, scores = {}, scores[:0]
-            texts = batch.column(0).to_pylist()
-            words = [words_of(t) if t and LETTER.search(t) else [] for t in texts] if langs else [[]] * len(texts)
-            if new := list({w for x in words for w in x if w not in known}):
-                known.update(zip(new, range(len(known), len(known) + len(new))))
-                scores = np.concatenate([scores, log_probabilities(vocab, p, new)])
+                known, scores = Numbers(), scores[:0]
+            words = [np.fromiter(map(known.__getitem__, words_of(t)) if langs and t and has_letter(t) else (), np.int64) for t in batch.column(0).to_pylist()]
+            if known.new:
+                scores = np.concatenate([scores, log_probabilities(vocab, p, known.new)])
+                known.new = []
             pred, score = [], []
             for x in words:
-                if not x:
+                if not len(x):
                     pred.append("und")
                     score.append(0.0)
                     continue
-                total = scores[np.fromiter(map(known.__getitem__, x), np.int64, len(x))].sum(axis=0) / np.sqrt(len(x))
+                total = scores[x].sum(axis=0) / np.sqrt(len(x))
                 best = int(total.argmax())
                 pred.append(langs[best])
                 score.append(float(1.0 / np.exp(total - total[best]).sum()))

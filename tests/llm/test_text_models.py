@@ -107,17 +107,56 @@ def segmentations(word, p):
     return 1.0 if not word else sum(p.get(word[:k], 0.0) * segmentations(word[k:], p) for k in range(1, len(word) + 1))
 
 
+def log_sum(word, p, longest):
+    """log of the sum over all segmentations, by exact fractions of Python's long integers."""
+    from fractions import Fraction
+
+    sums = [Fraction(1)]
+    for j in range(1, len(word) + 1):
+        sums.append(sum(sums[i] * Fraction(p.get(word[i:j], 0.0)) for i in range(max(0, j - longest), j)))
+    return math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+
+
 def test_forward_sums_all_segmentations():
-    pieces = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "\0"]
+    high = language_id.BYTES[ord("x")]
+    pieces = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", *language_id.BYTES]
     vocab = language_id.Vocabulary(pieces)
-    p = np.array([[0.1], [0.2], [0.15], [0.1], [0.2], [0.05], [0.1], [0.1]])
+    p = np.array([[0.1], [0.2], [0.15], [0.1], [0.2], [0.05], [0.1], *[[0.01]] * 256])
     table = {x: p[i, 0] for i, x in enumerate(pieces)}
     for w in ("a", "ab", "abba", "baab", "bxa"):
-        want = segmentations(("▁" + w).replace("x", "\0"), table)
+        want = segmentations(("▁" + w).replace("x", high), table)
         assert language_id.log_probabilities(vocab, p, [w, w])[0, 0] == pytest.approx(math.log(want))
+    # words of any length, and characters without a piece as their bytes
+    rng = random.Random(3)
+    for w in ["".join(rng.choice("abx") for _ in range(n)) for n in (31, 32, 33, 64, 200, 700)] + ["aĀb"]:
+        spelled = "▁" + w.replace("x", high).replace("Ā", "".join(language_id.BYTES[k] for k in "Ā".encode()))
+        assert language_id.log_probabilities(vocab, p, [w])[0, 0] == pytest.approx(log_sum(spelled, table, vocab.longest))
     # expected counts: each place of a word is covered once
     got = language_id.expected(vocab, p, ["abba", "ab"], np.array([0, 0]), np.array([2.0, 1.0]))
     assert (got[:, 0] * [len(x) for x in pieces]).sum() == pytest.approx(2 * 5 + 3)
+    got = language_id.expected(vocab, p, ["abxb" * 100], np.array([0]), np.array([3.0]))
+    assert (got[:, 0] * [len(x) for x in pieces]).sum() == pytest.approx(3 * 401)
+
+
+def test_letters():
+    assert language_id.has_letter("1 ½ é") and language_id.has_letter("ª") and language_id.has_letter("漢")
+    assert not any(map(language_id.has_letter, ("", "12 ...", "½", "Ⅷ", "①", "²", "_")))
+
+
+def test_language_predictions_against_brute_force(spark):
+    rng = random.Random(4)
+    vocab = language_id.vocabulary(sentencepiece_codec.public_model())
+    words = ["lorem", "ipsum", "straße", "ක්‍ෂ", "x" * 90, "über"]
+    rows = [(i, " ".join(rng.choices(words[i % 2 : i % 2 + 4], k=1 + i % 7)), "ab"[i % 2], "k", 1) for i in range(40)] + [(40, "½ ²", "a", "k", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, _text int")
+    learned = language_id.fit(df, sentencepiece_codec.public_model())
+    got = {r.doc_id: r for r in language_id.predict(df, learned).collect()}
+    p = learned.p.astype(np.float32).astype(float)
+    for i, text, *_ in rows[:-1]:
+        logs = np.array([language_id.log_probabilities(vocab, p, [w])[0] for w in text.split()]).sum(axis=0) / math.sqrt(len(text.split()))
+        best = int(logs.argmax())
+        assert got[i].lang_pred == learned.langs[best] and got[i].score == pytest.approx(1 / np.exp(logs - logs[best]).sum())
+    assert got[40].lang_pred == "und" and got[40].score == 0
 
 
 def test_language_id_cases(spark):
