@@ -107,6 +107,10 @@ class Scratch:
                 p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+    def clear(self) -> None:
+        self.drop(*[df for _, df in self.paths.values()])
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser on uint64 arrays (the public splitmix64 constants)."""
     with np.errstate(over="ignore"):

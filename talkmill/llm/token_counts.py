@@ -4,8 +4,9 @@ A change has a sign: an insert adds a document's tokens, a delete takes away wha
 both. Changes are added up by source, language and tokenizer version and committed as one batch under a name: the batch is
 written aside and moved to its name in one step. A name that is there already is a batch that was committed: committing it
 again, by a retry or a second writer, changes nothing. The totals are the sums over all batches; compaction adds them up
-into a base that names the batches it holds, and a batch that a base holds is not read again, nor may it be committed
-again. Groups whose documents are all gone stay out of the totals.
+into a base that names the batches it holds, which are not read again. vacuum() deletes what the newest base holds and leaves
+a mark for each such batch, so that its name stays taken; no reader, compaction or retried commit may be at work meanwhile. The
+driver lists names of batches since the last vacuum only. Groups whose documents are all gone stay out of the totals.
 
 Cases: null text has no tokens and no characters but counts as a document; null sources and languages are groups of
 their own; rows that repeat are documents each; an empty batch commits (and blocks its name) and changes nothing; an empty
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, documents, shared_dir, tune
+from .common import Scratch, documents, shared_dir, small
 from .sentencepiece_codec import model, public_model
 
 KEYS = ["source", "lang", "version"]
@@ -62,14 +63,13 @@ def count_tokens(path: str) -> Callable[[list[str]], list[int]]:
 def counted(docs: DataFrame, versions: dict[str, str], text: str = "text") -> DataFrame:
     """One row for each document and version: the columns of docs without the text, version, tokens, chars. versions: name
     to vocabulary file."""
-    tune(docs.sparkSession)
     names = ("version", "tokens", "chars", "_text")
     kept = docs.select(F.col(text).alias("_text"), *[F.col(f"`{c}`") for c in docs.columns if c != text and c not in names])
     schema = T.StructType([*kept.schema.fields[1:], T.StructField("version", T.StringType()), T.StructField("tokens", T.LongType()), T.StructField("chars", T.LongType())])
 
     def run(batches):
         counters = {name: count_tokens(path) for name, path in versions.items()}
-        for batch in batches:
+        for batch in small(batches):
             texts = [t or "" for t in batch.column(0).to_pylist()]
             for name, count in counters.items():
                 cols = [pa.array([name] * len(texts)), pa.array(count(texts), pa.int64()), pa.array(list(map(len, texts)), pa.int64())]
@@ -124,66 +124,75 @@ class TokenRollup:
     def batches(self) -> list[str]:
         return self._names("batches")
 
-    def _base(self) -> tuple[str | None, set[str]]:
+    def _base(self) -> tuple[int, set[str]]:
+        """(the newest base's number, -1 if there is none; the batches it holds that were not vacuumed before it was made)."""
         bases = self._names("base")
         if not bases:
-            return None, set()
+            return -1, set()
         held = self.spark.read.schema("batch string").parquet(f"{self.path}/base/{bases[-1]}/held").collect()
-        return f"{self.path}/base/{bases[-1]}/sums", {r[0] for r in held}
+        return int(bases[-1]), {r[0] for r in held}
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Adds a batch of signed changes; False (and no change) if it was committed before."""
-        if self._fs.exists(self._at(f"batches/{batch}")) or batch in self._base()[1]:
+        if any(self._fs.exists(self._at(f"{x}/{batch}")) for x in ("batches", "vacuumed")):
             return False
         sums = changes.groupBy(*KEYS).agg(F.sum("sign").alias("docs"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"), F.sum(F.col("sign") * F.col("chars")).alias("chars"))
         aside = f"aside/{uuid.uuid4().hex}"
         sums.write.parquet(f"{self.path}/{aside}")
         return self._move(aside, f"batches/{batch}")
 
-    def _sums(self) -> DataFrame:
-        base, held = self._base()
-        paths = [*([base] if base else []), *(f"{self.path}/batches/{b}" for b in self.batches() if b not in held)]
+    def _sums(self, number: int, held: set[str], batches: list[str]) -> DataFrame:
+        paths = [*([f"{self.path}/base/{number:09d}/sums"] if number >= 0 else []), *(f"{self.path}/batches/{b}" for b in batches if b not in held)]
         rows = self.spark.read.schema(SCHEMA).parquet(*paths) if paths else self.spark.createDataFrame([], SCHEMA)
         return rows.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
 
     def totals(self) -> DataFrame:
-        return self._sums().where("docs <> 0 or tokens <> 0 or chars <> 0")
+        return self._sums(*self._base(), self.batches()).where("docs <> 0 or tokens <> 0 or chars <> 0")
 
-    def compact(self) -> None:
-        """A new base of all that is committed. The old files stay until vacuum()."""
-        held = sorted(self._base()[1].union(self.batches()))
+    def compact(self) -> bool:
+        """A new base of the batches that are committed now; batches committed meanwhile stay beside it. The old files stay until
+        vacuum(). False (and no change) if another compaction came first."""
+        (number, held), batches = self._base(), self.batches()
         aside = f"aside/{uuid.uuid4().hex}"
-        self._sums().write.parquet(f"{self.path}/{aside}/sums")
-        self.spark.createDataFrame([(x,) for x in held], "batch string").write.parquet(f"{self.path}/{aside}/held")
-        self._move(aside, f"base/{len(self._names('base')):09d}")
+        self._sums(number, held, batches).write.parquet(f"{self.path}/{aside}/sums")
+        self.spark.createDataFrame([(x,) for x in batches], "batch string").write.parquet(f"{self.path}/{aside}/held")
+        return self._move(aside, f"base/{number + 1:09d}")
 
     def vacuum(self) -> None:
-        """Deletes what the newest base holds; no reader may still be at it."""
+        """Deletes what the newest base holds."""
         bases, held = self._names("base"), self._base()[1]
         for x in bases[:-1]:
             self._fs.delete(self._at(f"base/{x}"), True)
         for x in held.intersection(self.batches()):
+            self._fs.mkdirs(self._at(f"vacuumed/{x}"))
             self._fs.delete(self._at(f"batches/{x}"), True)
 
 
+def changes_of(docs: DataFrame, labels: DataFrame, versions: dict[str, str], scratch: Scratch) -> dict[str, DataFrame]:
+    """The signed changes of the registered query, by batch: all documents in, those with repeated lines revised to have each
+    line once, those labelled bad out. A revised document's old and new counts come from the same row, so null and shared ids do
+    no harm; a label strikes every row with its id, and null ids have no label."""
+    once = F.array_join(F.array_distinct(F.split("text", "\n", -1)), "\n")
+    rows = docs.select("doc_id", "source", "lang", "text", F.coalesce(once != F.col("text"), F.lit(False)).alias("revised"))
+    first = scratch.keep(counted(rows, versions))
+    second = scratch.keep(counted(rows.where("revised").withColumn("text", once), versions))
+    bad = labels.where("quality = 0").select("doc_id").distinct()
+    now = first.where("not revised").unionByName(second)
+    return {"load": inserts(first), "revise": revisions(first.where("revised"), second), "retire": deletes(now.join(bad, "doc_id", "left_semi"))}
+
+
 def op8_token_counts(spark, sf_dir: str) -> DataFrame:
-    """All documents are inserted; those with repeated lines are revised to have each line once; those labelled bad are
-    deleted; the revision is committed twice."""
+    """Totals after all changes, by source, language and each of two tokenizers; the revision is committed twice."""
+    import public_tokenizers
+
     scratch = Scratch(spark)
-    versions = {"piece_bpe_32k": public_model()}
-    docs = documents(spark, sf_dir).select("doc_id", "source", "lang", "text")
-    once = F.array_join(F.array_distinct(F.split("text", "\n", -1)), "\n")
-    revised = docs.withColumn("_new", once).where("_new <> text").select("doc_id", "source", "lang", F.col("_new").alias("text"))
-    first = scratch.keep(counted(docs, versions))
-    second = scratch.keep(counted(revised, versions))
-    old = first.join(second.select("doc_id", "version").distinct(), ["doc_id", "version"], "left_semi")
-    bad = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 0").select("doc_id").distinct()
-    now = first.join(second.select("doc_id", "version").distinct(), ["doc_id", "version"], "left_anti").unionByName(second)
+    versions = {"piece_bpe_32k": public_model(), "byte_bpe_50k": public_tokenizers.path("byte_bpe_50k.tiktoken")}
+    changes = changes_of(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), versions, scratch)
     rollup = TokenRollup(spark, f"{shared_dir(spark)}/talkmill/rollup-{uuid.uuid4().hex}")
-    rollup.commit("load", inserts(first))
-    change = revisions(old, second)
-    rollup.commit("revise", change)
-    rollup.commit("revise", change)
+    rollup.commit("load", changes["load"])
+    rollup.commit("revise", changes["revise"])
+    rollup.commit("revise", changes["revise"])
     rollup.compact()
-    rollup.commit("retire", deletes(now.join(bad, "doc_id", "left_semi")))
+    rollup.commit("retire", changes["retire"])
+    scratch.clear()
     return rollup.totals()

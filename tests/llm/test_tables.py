@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talkmill.llm import mixing, queries, token_counts, url_filter
-from talkmill.llm.common import shared_dir
+from talkmill.llm.common import Scratch, shared_dir
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -147,6 +147,63 @@ def test_rollup(spark):
     assert totals() == {("a", "x", "v1"): (2, size[2], 5), (None, None, "v1"): (2, 2 * size[1], 20000)}
 
 
+def test_compaction_after_a_vacuum_and_beside_commits(spark):
+    row = lambda n: spark.createDataFrame([("a", "x", "v", n, 1)], "source string, lang string, version string, tokens long, chars long")
+    store = token_counts.TokenRollup(spark, f"{shared_dir(spark)}/rollup-test-{random.random()}")
+    tokens = lambda: store.totals().collect()[0].tokens
+    assert store.commit("b0", token_counts.inserts(row(1))) and store.compact()
+    assert store.commit("b1", token_counts.inserts(row(10))) and store.compact()
+    store.vacuum()
+    assert store.batches() == [] and tokens() == 11
+    assert store.commit("b2", token_counts.inserts(row(100)))
+    listed, sums = store.batches, store._sums
+
+    def meanwhile(*known):  # a batch is committed after compaction has listed what it holds
+        store._sums = sums
+        assert store.commit("b3", token_counts.inserts(row(1000)))
+        return sums(*known)
+
+    store._sums = meanwhile
+    assert store.compact() and listed() == ["b2", "b3"] and tokens() == 1111
+    store.vacuum()
+    assert store.batches() == ["b3"] and tokens() == 1111 and store.compact()
+    store.vacuum()
+    assert tokens() == 1111 and not any(store.commit(f"b{i}", token_counts.inserts(row(5))) for i in range(4))
+    before = store._base
+    store._base = lambda: (before()[0] - 1, before()[1])  # another compaction came first
+    assert not store.compact()
+    store._base = before
+    assert tokens() == 1111
+
+
+def test_token_changes_against_brute_force(spark):
+    import public_tokenizers
+
+    texts = ["a b\na b\nc", "Hello world", None, "", "x\nx", "one\ntwo"]
+    rows = [(i if i % 4 else None, f"s{i % 2}" if i % 5 else None, "en", texts[i % len(texts)]) for i in range(24)]
+    rows += [(7, "s1", "en", "own text"), (7, "s1", "en", "d\nd"), (None, "s0", "en", "q\nq"), (None, "s0", "en", "q\nq")]
+    labels = [(7, 0), (9, 0), (9, 0), (10, 1), (None, 0), (11, None)]
+    versions = {"p": token_counts.public_model(), "b": public_tokenizers.path("byte_bpe_50k.tiktoken")}
+    bad = {7, 9}
+    want = {}
+    for i, source, lang, text in rows:
+        if i in bad:
+            continue
+        once = "\n".join(dict.fromkeys((text or "").split("\n")))
+        for v, path in versions.items():
+            t = want.setdefault((source, lang, v), [0, 0, 0])
+            for k, x in enumerate((1, token_counts.count_tokens(path)([once])[0], len(once))):
+                t[k] += x
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    scratch = Scratch(spark)
+    changes = token_counts.changes_of(docs, spark.createDataFrame(labels, "doc_id long, quality int"), versions, scratch)
+    store = token_counts.TokenRollup(spark, f"{shared_dir(spark)}/rollup-test-{random.random()}")
+    for name in ("load", "revise", "revise", "retire"):
+        store.commit(name, changes[name])
+    scratch.clear()
+    assert {tuple(r[:3]): list(r[3:]) for r in store.totals().collect()} == want
+
+
 def test_counters_agree_with_their_libraries():
     import public_tokenizers
 
