@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from talkmill.llm import katz, language_id, order_minhash, quality_rules, sentencepiece_codec
 from talkmill.llm.common import words_of
@@ -228,6 +229,41 @@ def test_next_documents(spark, parts):
     assert after == {a[0]: b for a, b in zip(order, order[1:] + order[:1])}
 
 
+def edited(rows):
+    """The definition, on (id, text) rows."""
+    def order(r):
+        return (r[0] is not None, r[0] or 0, r[2], r[1] or "")
+
+    o, out = order_minhash.OrderMinHash(), []
+    rows = sorted(rows, key=order)
+    for (i, t, _), (_, u, _) in zip(rows, rows[1:] + rows[:1]):
+        t, u = t or "", u or ""
+        e = t[: len(t) - len(t) // 2] + u[: len(t) // 2]
+        a, b, c = (o.signature(order_minhash.code_points(x)) for x in (t, e, u))
+        out.append((i, len(t), hashlib.sha256(e.encode()).hexdigest(), o.text(a), o.text(b), o.likeness(a, b), o.likeness(a, c)))
+    return sorted(out, key=str)
+
+
+def test_edited_fingerprints_against_brute_force(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdé😀 ", k=9))
+    few = [(rng.randrange(30), rng.choice([None, "", word(), word() * 30])) for _ in range(50)]
+    hot = [(7, f"{k} {word()}") for k in range(120)]  # an id with most rows
+    cases = [few, few + hot, hot, [(None, "a"), (None, "b" * 40), (None, None)], [(5, "alone")], few + [(None, "z"), (None, "y")]]
+    for rows in cases:
+        df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _range string").repartition(3)
+        hashed = [tuple(r) for r in df.select("doc_id", "text", F.xxhash64("text")).collect()]
+        got = order_minhash.edited_fingerprints(df, ranges=6).collect()
+        assert sorted(map(tuple, got), key=str) == edited(hashed)
+    assert order_minhash.edited_fingerprints(df.limit(0)).collect() == []
+    many = order_minhash.with_next(spark.createDataFrame(hot, "doc_id long, text string"), ranges=6)
+    assert max(r[1] for r in many.groupBy("_range").count().collect()) < 60
+    o = order_minhash.OrderMinHash()
+    h = np.array([rng.randrange(1 << 63) for _ in range(300)] * 300, np.uint64)
+    seen = o.numbered(h)
+    assert len(np.unique(seen)) == len(h) and (seen[:300] == o.numbered(h[:300])).all()
+
+
 def slow_repeats(words):
     windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
     return len({j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)})
