@@ -1,7 +1,8 @@
 """URL filters: host-suffix and path-prefix expressions of each url, joined with rules on short hash prefixes.
 
 A url becomes a host and a path; every host suffix that begins at a label and every path prefix that ends after a
-slash (and the empty one) make an expression. Rules have one expression each: their host and their path up to its last
+slash (and the empty one) make an expression, as far as the rules go: no rule can fit a suffix of more labels, or a prefix of more
+slashes, than the rules' longest. So very long urls have no more expressions than others. Rules have one expression each: their host and their path up to its last
 slash. Both sides carry the SHA-256 of the expression; the equi-join is on its first eight hex digits, then the full
 digests must agree and the path must start with the whole path of the rule. Among the rules that fit, the longest
 host and path together win; ties go to the longer host, then to block.
@@ -30,38 +31,39 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def host_suffixes(host: Column) -> Column:
-    """The host and each of its suffixes that begins after a dot."""
+def host_suffixes(host: Column, most: int) -> Column:
+    """The host and each of its suffixes that begins after a dot, of `most` labels at most."""
     labels = F.split(host, r"\.")
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    return F.transform(F.sequence(F.greatest(F.lit(1), F.size(labels) - most + 1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
-def path_prefixes(path: Column) -> Column:
-    """The empty prefix, and each prefix that ends with a slash."""
-    parts = F.split(path, "/")
+def path_prefixes(path: Column, most: int) -> Column:
+    """The empty prefix, and each prefix that ends with a slash, of `most` slashes at most."""
+    parts = F.split(path, "/", most + 1)
     return F.transform(
         F.sequence(F.lit(0), F.size(parts) - 1),
         lambda i: F.when(i == 0, F.lit("")).otherwise(F.concat(F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/"))),
     )
 
 
-def expressions(host: Column, path: Column) -> Column:
-    prefixes = path_prefixes(path)
-    return F.flatten(F.transform(host_suffixes(host), lambda h: F.transform(prefixes, lambda p: F.concat(h, F.lit("\n"), p))))
+def expressions(host: Column, path: Column, labels: int, slashes: int) -> Column:
+    prefixes = path_prefixes(path, slashes)
+    return F.flatten(F.transform(host_suffixes(host, labels), lambda h: F.transform(prefixes, lambda p: F.concat(h, F.lit("\n"), p))))
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", keep: tuple[str, ...] = ("page_id",), default: str = "allow", broadcast_rules: int = BROADCAST_RULES) -> DataFrame:
     """Columns `keep`, then host, path, rule (null if none fits) and verdict. rules: host, path, action (allow, block)."""
     host, path = host_and_path(F.col(url))
     base = pages.select(*keep, host.alias("_host"), path.alias("_path")).withColumn("_row", F.monotonically_increasing_id())
-    asked = base.withColumn("_expr", F.explode(expressions(F.col("_host"), F.col("_path"))))
-    asked = asked.withColumn("_digest", F.sha2("_expr", 256)).withColumn("_short", F.substring("_digest", 1, SHORT)).drop("_expr")
     r_path = F.coalesce(F.col("path"), F.lit(""))
     known = rules.where(F.col("host").isNotNull()).select(ascii_lower(F.col("host")).alias("r_host"), r_path.alias("r_path"), F.col("action").alias("r_action")).distinct()
-    known = known.withColumn("r_digest", F.sha2(F.concat("r_host", F.lit("\n"), F.regexp_extract("r_path", r"^((?:[^/]*/)*)", 1)), 256))
-    known = known.withColumn("_short", F.substring("r_digest", 1, SHORT))
-    if known.count() <= broadcast_rules:
+    known = known.withColumn("_prefix", F.regexp_extract("r_path", r"^((?:[^/]*/)*)", 1))
+    size = known.agg(F.count("*").alias("n"), F.max(F.size(F.split("r_host", r"\."))).alias("labels"), F.max(F.length("_prefix") - F.length(F.translate("_prefix", "/", ""))).alias("slashes")).first()
+    known = known.withColumn("r_digest", F.sha2(F.concat("r_host", F.lit("\n"), "_prefix"), 256)).withColumn("_short", F.substring("r_digest", 1, SHORT)).drop("_prefix")
+    if size.n <= broadcast_rules:
         known = F.broadcast(known)
+    asked = base.withColumn("_expr", F.explode(expressions(F.col("_host"), F.col("_path"), size.labels or 1, size.slashes or 0)))
+    asked = asked.withColumn("_digest", F.sha2("_expr", 256)).withColumn("_short", F.substring("_digest", 1, SHORT)).drop("_expr")
     joined = asked.join(known, "_short", "left")
     fits = (F.col("_digest") == F.col("r_digest")) & F.startswith(F.col("_path"), F.col("r_path"))
     rank = F.struct(

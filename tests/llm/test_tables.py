@@ -28,6 +28,7 @@ def judged(url, rules):
 URLS = [
     "http://www.Example.com/en/a?x#y", "https://example.com/en/", "https://example.com/en", "http://a.b.example.com/enx/1", "ftp://net/es/x", "x://y.net/fr/", "http://com/", "http://com?x", "http://notcom/", "http://", "://", "plain", "", None,
     "http://ÉX.com/ü/", "http://a.net/es//fr/", "http://u:p@example.com:80/en/", "http://.com/", "http://com./", "http://x.com/a\nb/c", "http://" + "s." * 60 + "net/fr/" + "d/" * 60, "http://www.example.com/en/a?x#y",
+    "http://" + "a." * 120 + "net/fr/" + "x/" * 3000 + "?q",
 ]
 
 
@@ -169,6 +170,7 @@ def test_compaction_after_a_vacuum_and_beside_commits(spark):
     assert store.batches() == ["b3"] and tokens() == 1111 and store.compact()
     store.vacuum()
     assert tokens() == 1111 and not any(store.commit(f"b{i}", token_counts.inserts(row(5))) for i in range(4))
+    assert store.compact()
     before = store._base
     store._base = lambda: (before()[0] - 1, before()[1])  # another compaction came first
     assert not store.compact()
