@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from talkmill.functions.json import is_json
 from talkmill.functions.text import has_text
 from talkmill.operators import examples, judge as offline, refine
+from talkmill.sources import files
 from talkmill.sources.jsonl import with_seq
 
 
@@ -17,21 +18,25 @@ def refine_new_files(
     spark: SparkSession, folder: str, out: str, checkpoint: str, judge: Callable[[DataFrame], DataFrame] | None = None, size: int = 40, most_files: int = 1000
 ) -> None:
     """Refines the files of a folder that earlier runs have not, then stops. Rows go to out/refined and out/removed, one
-    folder a batch of files, so that a batch which is run again replaces its own output."""
+    folder a batch of files. Verdicts are written first, to out/judged, and both outputs are made from them: a row is judged once,
+    also where a batch is run again after its verdicts were written."""
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", most_files).load(folder)
     lines = lines.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("_at"), "value")
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        rows = numbered_lines(batch.withColumn("_id", F.monotonically_increasing_id())).where(has_text(F.col("value"))).where(is_json("value"))
-        rows = examples.read_examples(with_seq(rows)).select("file", "seq", "messages")
-        rows = rows.persist()
-        try:
-            judge_ = judge or offline.offline_judge(examples.batched(rows, size))
-            done = refine.refine(rows, judge_, size)
-            refine.kept(done).select("file", "seq", "messages").write.mode("overwrite").parquet(f"{out}/refined/batch={batch_id}")
-            refine.removed(done).write.mode("overwrite").parquet(f"{out}/removed/batch={batch_id}")
-        finally:
-            rows.unpersist()
+        own = batch.sparkSession
+        aside = f"{out}/judged/batch={batch_id}"
+        if not files.exists(own, f"{aside}/_SUCCESS"):
+            rows = numbered_lines(batch.withColumn("_id", F.monotonically_increasing_id())).where(has_text(F.col("value"))).where(is_json("value"))
+            rows = examples.read_examples(with_seq(rows)).select("file", "seq", "value", "messages").persist()
+            try:
+                judge_ = judge or offline.offline_judge(examples.batched(rows, size))
+                refine.refine(rows, judge_, size).write.mode("overwrite").parquet(aside)
+            finally:
+                rows.unpersist()
+        done = own.read.parquet(aside)
+        refine.kept(done).select("file", "seq", "value", "messages").write.mode("overwrite").parquet(f"{out}/refined/batch={batch_id}")
+        refine.removed(done).write.mode("overwrite").parquet(f"{out}/removed/batch={batch_id}")
 
     query = lines.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
