@@ -10,20 +10,22 @@ prefix costs their estimated lengths, while at most (sum of those lengths) / l c
 costs a verification; the l of least cost wins. For a pair the smaller l of the two counts, over the part of both
 prefixes that belongs to that l, so classes with different l meet in exactly the pairs that the filter lets through.
 
-The estimate is a sketch of fixed size (2 ** SKETCH_BITS counters) over the shingles of all documents; it only decides the
-order and the l, never what is found, so its errors at any size cost time, not links.
+The estimate is a sketch over the shingles of all documents, whose counters never saturate: their number follows the input's
+size up to 2 ** SKETCH_BITS, and beyond that a shingle stands out if it is more frequent than a counter's mean. It only decides
+the order and the l, never what is found, so its errors at any size cost time, not links.
 
 Large groups. Each class of a list with more than STAR classes is first compared with the list's pivot (the class with fewest
 rare shingles: an original rather than a copy); what links with it forms components, and from then on only classes of
-different components are compared, those outside a list's largest component with the others. Two classes near the same
-pivot overlap in at most what each has of the pivot, plus what they share beyond it, so they only meet where they share a
-shingle that the pivot lacks (or where one is smaller than the pivot): a group of g near copies costs about g pairs, not
-their square, and no link between components is lost. Links inside a component can't change it.
+different components are compared, those outside a list's largest component with the others. For classes near the same
+pivot, what only one of a class and the pivot has (its delta) tells all: only one of two classes has what only one of
+their deltas has. So they link if their deltas share enough, and are joined on prefixes of the deltas; a group of g near
+copies costs about g pairs, not their square, and no link between components is lost. Links inside a component can't change it.
 
 Cases: null text and text without words: empty set, linked with nothing, component its own id. Fewer than `width`
 words: the whole sequence is the one shingle. Rows with a null id have a null component and link with nothing. Rows that
-repeat are equal sets. Only id and text are read; an empty table gives an empty result. Shingles and sets are told apart
-by hashes of 64 bits.
+repeat are equal sets. Only id and text are read; an empty table gives an empty result. Very long texts are taken whole: a
+set is one array, of 8 bytes for each distinct shingle. Shingles are told apart by hashes of 64 bits, sets by 128; of two unlike
+sets with the same first 64 bits one is taken for a class and the other's documents are linked with nothing.
 """
 
 from __future__ import annotations
@@ -38,10 +40,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, lower_ascii, mix64, partitions, tune, words_of
+from .common import Scratch, documents, file_bytes, lower_ascii, mix64, partitions, small, words_of
 from .components import connected
 
-SKETCH_BITS, SKETCH_BLOCKS = 24, 256
+LEAST_BITS, SKETCH_BITS, SKETCH_BLOCKS = 18, 24, 256
 MOST_MATCH, VERIFY_COST = 4, 8.0
 STAR = 16
 #: A class is near a pivot if at most this share of its shingles is not the pivot's.
@@ -76,37 +78,51 @@ class Shingler:
         return np.unique(mix64(out))
 
 
-def set_id(hashes: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
+def set_id(hashes: np.ndarray) -> tuple[int, int]:
+    """128 bits in two numbers."""
+    return tuple(np.frombuffer(hashlib.blake2b(hashes.tobytes(), digest_size=16).digest(), "<i8").tolist())
 
 
-def sketch(rows: DataFrame, width: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """For each counter, how many (document, shingle) fall on it; 16 bits, saturating."""
+class Sketch:
+    """For each counter, how many (document, shingle) fall on it, in units of `scale`."""
+
+    def __init__(self, counts: np.ndarray):
+        self.bits = len(counts).bit_length() - 1
+        self.scale = int(counts.max()) // 65536 + 1
+        self.counts = (counts // np.uint32(self.scale)).astype(np.uint16)
+        #: What an estimate has from other shingles.
+        self.floor = float(counts.mean())
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        return self.counts[(h >> np.uint64(64 - self.bits)).astype(np.int64)].astype(float) * self.scale
+
+
+def sketch(rows: DataFrame, width: int, bits: int) -> Sketch:
     size, block = 1 << bits, (1 << bits) // SKETCH_BLOCKS
 
+    def blocks(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in parts.values()], pa.binary())], names=["block", "counts"])
+
     def count(batches):
         shingler, total = Shingler(width), np.zeros(size, np.uint32)
-        for batch in batches:
+        for batch in small(batches):
             for text in batch.column(0).to_pylist():
-                h = shingler.hashes(text)
-                np.add.at(total, (h >> np.uint64(64 - bits)).astype(np.int64), 1)
-        parts = [zlib.compress(np.minimum(total[i * block : (i + 1) * block], 65535).astype(np.uint16).tobytes(), 1) for i in range(SKETCH_BLOCKS) if total[i * block : (i + 1) * block].any()]
-        at = [i for i in range(SKETCH_BLOCKS) if total[i * block : (i + 1) * block].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(parts, pa.binary())], names=["block", "counts"])
+                np.add.at(total, (shingler.hashes(text) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
+        own = total.reshape(SKETCH_BLOCKS, block)
+        yield blocks({int(i): own[i] for i in np.flatnonzero(own.any(axis=1))})
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
             for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                total[i] = np.minimum(total.get(i, 0) + np.frombuffer(zlib.decompress(x), np.uint16).astype(np.uint32), 65535)
-        parts = [zlib.compress(x.astype(np.uint16).tobytes(), 1) for x in total.values()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(parts, pa.binary())], names=["block", "counts"])
+                total[i] = total.get(i, 0) + np.frombuffer(zlib.decompress(x), np.uint32).astype(np.uint64)
+        yield blocks({i: np.minimum(x, (1 << 32) - 1).astype(np.uint32) for i, x in total.items()})
 
-    out = np.zeros(size, np.uint16)
+    out = np.zeros(size, np.uint32)
     found = rows.select("text").mapInArrow(count, "block int, counts binary").repartition(partitions(rows.sparkSession), "block")
     for i, x in found.mapInArrow(add, "block int, counts binary").collect():
-        out[i * block : (i + 1) * block] = np.frombuffer(zlib.decompress(bytes(x)), np.uint16)
-    return out
+        out[i * block : (i + 1) * block] = np.frombuffer(zlib.decompress(bytes(x)), np.uint32)
+    return Sketch(out)
 
 
 def prefix_of(h: np.ndarray, df: np.ndarray, floor: float, percent: int, most_match: int = MOST_MATCH) -> tuple[np.ndarray, int, int]:
@@ -126,26 +142,25 @@ def prefix_of(h: np.ndarray, df: np.ndarray, floor: float, percent: int, most_ma
     return h[order[: one + match - 1]], match, int((excess == 0).sum())
 
 
-def classes(rows: DataFrame, width: int, percent: int, counts: np.ndarray, bits: int = SKETCH_BITS) -> DataFrame:
-    """(id, cid, n, rare, match, prefix) of each row of (id, text)."""
+def classes(rows: DataFrame, width: int, percent: int, counts: Sketch) -> DataFrame:
+    """(id, cid, other, n, rare, match, prefix) of each row of (id, text); cid and other are the set's 128 bits."""
     table = rows.sparkSession.sparkContext.broadcast(counts)
-    floor = float(counts.mean()) if len(counts) else 0.0
 
     def run(batches):
         shingler, df = Shingler(width), table.value
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for text in batch.column(1).to_pylist():
                 h = shingler.hashes(text)
                 if not len(h):
-                    out.append((None, 0, 0, 0, None))
+                    out.append((None, None, 0, 0, 0, None))
                     continue
-                prefix, match, rare = prefix_of(h, df[(h >> np.uint64(64 - bits)).astype(np.int64)], floor, percent)
-                out.append((set_id(h), len(h), rare, match, prefix.view(np.int64)))
-            cols = list(zip(*out)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))))], names=["id", "cid", "n", "rare", "match", "prefix"])
+                prefix, match, rare = prefix_of(h, df.of(h), df.floor, percent)
+                out.append((*set_id(h), len(h), rare, match, prefix.view(np.int64)))
+            cols = list(zip(*out)) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64()))))], names=["id", "cid", "other", "n", "rare", "match", "prefix"])
 
-    return rows.mapInArrow(run, "id long, cid long, n int, rare int, match int, prefix array<long>")
+    return rows.mapInArrow(run, "id long, cid long, other long, n int, rare int, match int, prefix array<long>")
 
 
 def sets_of(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -158,28 +173,28 @@ def sets_of(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         shingler = Shingler(width)
-        for batch in batches:
+        for batch in small(batches):
             if ids is not None:
                 have = np.isin(np.asarray(batch.column(0).fill_null(-1)), ids.value) & np.asarray(batch.column(0).is_valid())
                 batch = batch.filter(pa.array(have))
             h = [shingler.hashes(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(x) for x in h], pa.int64()), pa.array([x.view(np.int64) for x in h], pa.list_(pa.int64()))], names=["cid", "h"])
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(x)[0] for x in h], pa.int64()), pa.array([x.view(np.int64) for x in h], pa.list_(pa.int64()))], names=["cid", "h"])
 
     return rows.mapInArrow(run, "cid long, h array<long>").join(wanted.select("cid"), "cid", "left_semi").dropDuplicates(["cid"])
 
 
-def compared(pairs: DataFrame, known: DataFrame, rows: DataFrame, width: int, scratch: Scratch, rest: bool = False) -> DataFrame:
-    """Pairs (a, b) of classes with o, the size of their sets' intersection; with `rest`, also what b's set has beyond a's, where
-    that is at most NEAR of it. known: cid, rep."""
+def compared(pairs: DataFrame, known: DataFrame, rows: DataFrame, width: int, scratch: Scratch, delta: bool = False) -> DataFrame:
+    """Pairs (a, b) of classes with o, the size of their sets' intersection; with `delta`, also what only one of both has, where
+    at most NEAR of b's is beyond a's. known: cid, rep."""
     ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     wanted = scratch.keep(known.join(ids, "cid", "left_semi").select("cid", "rep"))
     sets = scratch.keep(sets_of(rows, wanted, width))
     left = pairs.join(sets.select(F.col("cid").alias("a"), F.col("h").alias("_a")), "a")
     both = left.join(sets.select(F.col("cid").alias("b"), F.col("h").alias("_b")), "b")
     out = both.withColumn("o", F.size(F.array_intersect("_a", "_b")))
-    if rest:
+    if delta:
         near = F.size("_b") - F.col("o") <= NEAR * F.size("_b")
-        out = out.withColumn("rest", F.when(near, F.array_except("_b", "_a")))
+        out = out.withColumn("delta", F.when(near, F.concat(F.array_except("_b", "_a"), F.array_except("_a", "_b"))))
     out = scratch.keep(out.drop("_a", "_b"))
     scratch.drop(sets, wanted)
     return out
@@ -204,13 +219,14 @@ def across(members: DataFrame, on: list[str], attributes: list[str]) -> DataFram
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row."""
     spark = docs.sparkSession
-    tune(spark)
     scratch = Scratch(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    every = scratch.keep(classes(rows, width, percent, sketch(rows, width)))
+    bits = min(SKETCH_BITS, max(LEAST_BITS, (file_bytes(rows) // 4).bit_length()))
+    every = scratch.keep(classes(rows, width, percent, sketch(rows, width, bits)))
     # one row a class: equal sets have equal prefixes
-    members = scratch.keep(every.where("cid is not null and id is not null").groupBy("cid").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("rare").alias("rare"), F.first("match").alias("match"), F.first("prefix").alias("prefix")))
-    every_ = scratch.keep(every.select("id", "cid", "n"))
+    own = every.where("cid is not null and id is not null").groupBy("cid").agg(F.min(F.struct("other", "id")).alias("_first"), F.min_by(F.struct("n", "rare", "match", "prefix"), "other").alias("_own"))
+    members = scratch.keep(own.select("cid", "_first.other", F.col("_first.id").alias("rep"), "_own.*"))
+    every_ = scratch.keep(every.select("id", "cid", "other", "n"))
     scratch.drop(every)
     known = members.select("cid", "rep")
     entries = members.select("cid", "n", "rare", "match", F.posexplode("prefix").alias("at", "sh"))
@@ -228,7 +244,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     comp = lambda df: df.join(comps.select(F.col("id").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
     # 2. what lists have in common, by prefixes: all pairs of small lists; in large ones those not both near the pivot
-    near = starred.where("rest is not null").select(F.col("a").alias("p"), F.col("b").alias("cid")).withColumn("near", F.lit(True))
+    near = starred.where("delta is not null").select(F.col("a").alias("p"), F.col("b").alias("cid")).withColumn("near", F.lit(True))
     placed = met.select("sh", "cid", "n", "match", "at", F.when(F.col("size") > STAR, F.col("pivot.cid")).alias("p"))
     placed = placed.join(near, ["p", "cid"], "left").withColumn("near", F.coalesce("near", F.coalesce(F.col("p") == F.col("cid"), F.lit(False))))
     placed = scratch.keep(comp(placed.drop("p")))
@@ -240,50 +256,54 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     pairs = pairs.where(inside).select(F.least("x_cid", "y_cid").alias("a"), F.greatest("x_cid", "y_cid").alias("b"), l.alias("match"))
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("match").alias("match")).where("shared >= match").select("a", "b")
 
-    # 3. classes near the same pivot p: they overlap in at most what each shares with p, and what they share beyond p
-    o = F.least("x_o", "y_o")
-    beyond = starred.where("rest is not null").select(F.col("a").alias("p"), F.col("b").alias("cid"), F.col("b_n").alias("n"), "o", F.col("a_n"), "rest")
-    beyond = scratch.keep(comp(beyond))
-    # they must share needed - o of those; in one order, rarest first, two sets of that much overlap share one that lies in the
-    # first size - overlap + 1 of either
-    tokens = beyond.withColumn("size", F.size("rest")).withColumn("z", F.explode("rest")).drop("rest")
-    counts = tokens.groupBy("p", "z").agg(F.count("*").alias("df")).where("df > 1")
-    ordered = tokens.join(counts, ["p", "z"]).withColumn("back", F.row_number().over(W.partitionBy("p", "cid").orderBy(F.desc("df"), F.desc("z"))))
-    least_need = needed("x_n", "y_n", percent) - o
-    rare = (F.col("x_back") >= least_need) & (F.col("y_back") >= least_need)  # shingles that no other has come first, unnumbered
-    deltas = across(ordered, ["p", "z"], ["n", "o", "back"]).where(fits("x_n", "y_n")).where(rare)
-    found = scratch.keep(deltas.select("p", "x_cid", "y_cid").distinct())
-    # how much they share beyond p, exactly, for the pairs found
-    sides = beyond.select("p", F.col("cid"), "n", "o", "rest")
-    x = sides.select("p", *[F.col(c).alias(f"x_{c}") for c in ("cid", "n", "o", "rest")])
-    y = sides.select("p", *[F.col(c).alias(f"y_{c}") for c in ("cid", "n", "o", "rest")])
-    deltas = found.join(x, ["p", "x_cid"]).join(y, ["p", "y_cid"]).where(o + F.size(F.array_intersect("x_rest", "y_rest")) >= needed("x_n", "y_n", percent))
-    # without anything beyond p: only with a class smaller than p, since the one that p does not link has too little of p
-    small = beyond.drop("rest")
-    tight = across_smaller(small, percent).where(fits("x_n", "y_n"))
-    pairs = pairs.unionByName(smaller(deltas, "x_cid", "y_cid")).unionByName(smaller(tight, "x_cid", "y_cid")).distinct()
     pairs = scratch.keep(pairs.join(smaller(stars, "a", "b"), ["a", "b"], "left_anti"))
     sizes = members.select("cid", "n")
     sized = pairs.join(sizes.select(F.col("cid").alias("a"), F.col("n").alias("a_n")), "a").join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("b_n")), "b")
     more = compared(sized, known, rows, width, scratch)
-    comps = connected(links.union(more.where(F.col("o") >= needed("a_n", "b_n", percent)).select("a", "b")), scratch)
+    links = scratch.keep(links.union(more.where(F.col("o") >= needed("a_n", "b_n", percent)).select("a", "b")))
+    comps = connected(links, scratch)
+
+    # 3. classes near the same pivot: what only one of a class and the pivot has tells all about two of them
+    beyond = starred.where("delta is not null").select(F.col("a").alias("p"), F.col("b").alias("cid"), F.col("b_n").alias("n"), "delta")
+    beside = near_pivots(scratch.keep(comp(beyond)), percent, scratch)
+    if not beside.isEmpty():
+        comps = connected(links.union(beside), scratch)
 
     # the smallest document of each component; then of each row's class
-    where = comp(known)
+    where = comp(members.select("cid", "other", "rep"))
     least = where.groupBy("comp").agg(F.min("rep").alias("least"))
-    final = scratch.keep(where.join(least, "comp").select("cid", "least"))
-    scratch.drop(met, placed, pairs, stars, starred, beyond, members)
-    out = every_.join(final, "cid", "left")
+    final = scratch.keep(where.join(least, "comp").select("cid", "other", "least"))
+    scratch.drop(met, placed, pairs, stars, starred, members)
+    out = every_.join(final, ["cid", "other"], "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("least", "id")).alias("component_id"))
 
 
-def across_smaller(near: DataFrame, percent: int) -> DataFrame:
-    """Pairs near a pivot p (p, cid, comp, n, o, a_n: p's size) in different components whose intersections with p alone
-    suffice. If p does not link x, this needs a y with fewer shingles than p; and not both can be linked with p."""
-    cols = ["cid", "comp", "n", "o"]
-    x = near.where(F.col("o") < needed("n", "a_n", percent)).select("p", *[F.col(c).alias(f"x_{c}") for c in cols])
-    y = near.where("n < a_n").select("p", *[F.col(c).alias(f"y_{c}") for c in cols])
-    return x.join(y, "p").where("x_comp <> y_comp and x_cid <> y_cid").where(F.least("x_o", "y_o") >= needed("x_n", "y_n", percent))
+def near_pivots(beyond: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Links (a, b) between classes near the same pivot in different components. beyond: p, cid, n, delta (what only one of the class
+    and the pivot has), comp.
+
+    What only one of two classes has is what only one of their deltas has; so they link if the deltas share at least
+    alpha = (d + e - most) / 2, where most is the largest number of shingles that only one of two linked sets of their sizes
+    has. If alpha is below 1, both link with the pivot and are in one component. The prefixes are those of the join above."""
+    sized = beyond.withColumn("d", F.size("delta"))
+    mixed = sized.groupBy("p", "comp").agg(F.count("*").alias("_n")).groupBy("p").agg(F.max(F.struct("_n", "comp")).alias("_top"), F.count("*").alias("_c")).where("_c > 1")
+    sized = scratch.keep(sized.join(mixed.select("p", F.col("_top.comp").alias("_t")), "p").withColumn("minor", F.col("comp") != F.col("_t")).drop("_t"))
+    tokens = sized.withColumn("z", F.explode("delta")).drop("delta")
+    lists = tokens.groupBy("p", "z").agg(F.count("*").alias("df"), F.bool_or("minor").alias("_minor")).where("df > 1")
+    # shingles that no other delta has come first, unnumbered
+    place = F.col("d") - F.row_number().over(W.partitionBy("p", "cid").orderBy(F.desc("df"), F.desc("z")))
+    ordered = tokens.join(lists, ["p", "z"]).withColumn("at", place).where("_minor")
+    x = ordered.where("minor").select("p", "z", *[F.col(c).alias(f"x_{c}") for c in ("cid", "comp", "n", "d", "at")])
+    y = ordered.select("p", "z", "minor", *[F.col(c).alias(f"y_{c}") for c in ("cid", "comp", "n", "d", "at")])
+    alpha = F.ceil((F.col("x_d") + F.col("y_d") - (F.col("x_n") + F.col("y_n") - 2 * needed("x_n", "y_n", percent))) / 2)
+    l = F.least(alpha, F.lit(MOST_MATCH))
+    inside = (F.col("x_at") < F.col("x_d") - alpha + l) & (F.col("y_at") < F.col("y_d") - alpha + l)
+    met = x.join(y, ["p", "z"]).where("x_comp <> y_comp and (not minor or x_cid < y_cid)").where(f"100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)").where(inside)
+    found = scratch.keep(met.groupBy("p", "x_cid", "y_cid").agg(F.count("*").alias("shared"), F.first(l).alias("l"), F.first(alpha).alias("alpha")).where("shared >= l"))
+    side = lambda s: sized.select("p", F.col("cid").alias(f"{s}_cid"), F.col("delta").alias(f"{s}_delta"))
+    both = found.join(side("x"), ["p", "x_cid"]).join(side("y"), ["p", "y_cid"])
+    links = scratch.keep(both.where(F.size(F.array_intersect("x_delta", "y_delta")) >= F.col("alpha")).select(F.least("x_cid", "y_cid").alias("a"), F.greatest("x_cid", "y_cid").alias("b")).distinct())
+    return links
 
 
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:
