@@ -57,13 +57,6 @@ def held_out(doc_id: Column, n: int, remainder: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n == remainder
 
 
-def tune(spark: SparkSession) -> None:
-    """Arrow batches that fit long texts, unless the session asks for smaller ones."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
-
-
 def small(batches: Iterable[pa.RecordBatch], rows: int = ARROW_ROWS, size: int = ARROW_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in parts of so many rows, and of about so many bytes, at most: what Python makes of a part stays small."""
     for batch in batches:
@@ -128,11 +121,15 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def file_bytes(df: DataFrame) -> int:
+    """What Spark's plan says the columns take, in the files where there are some."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def bucket_bits(spark: SparkSession) -> int:
     """Leading bits of a hash that number the buckets: two to four a shuffle partition, 16 at least."""
     return max(4, (2 * partitions(spark) - 1).bit_length())
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tune(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

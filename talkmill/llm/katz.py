@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, crc_mod, documents, lower_ascii, mix64, partitions, tune, words_of
+from .common import Scratch, bucket_bits, crc_mod, documents, lower_ascii, mix64, small, words_of
 
 TOP = 5
 CHUNK = 1_000_000
@@ -124,7 +124,7 @@ def chunk_table(rows: DataFrame, modulus: int, remainder: int, chunk_tokens: int
             docs, hashes, size, made = [], [], 0, made + 1
             return out
 
-        for batch in batches:
+        for batch in small(batches):
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = words_of(lower_ascii(text)) if text else []
                 if len(known) > REMEMBER:
@@ -181,7 +181,7 @@ ANSWER = "chunk long, bucket int, counts binary, owned binary"
 
 def ask(chunks: DataFrame, what: str, bits: int) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, 1):  # a chunk is a row of megabytes
             for chunk, *rest in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 c = Chunk(*rest)
                 keys, *_, counts = getattr(c, what)()
@@ -261,7 +261,7 @@ def first_scores(joined: DataFrame, model: Katz, bits: int) -> DataFrame:
     out = "kind int, bucket int, chunk long, keys binary, data array<binary>, docs array<long>"
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, 1):  # a chunk is a row of megabytes
             for chunk, docs, held, lens, vocab, tokens, uni, bi in zip(*(batch.column(i).to_pylist() for i in range(8))):
                 c = Chunk(held, lens, vocab, tokens)
                 names, before = c.histories()
@@ -334,7 +334,7 @@ def history_weights(sums: DataFrame, model: Katz) -> DataFrame:
 
 def last_scores(joined: DataFrame, model: Katz) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in small(batches, 1):  # a chunk is a row of megabytes
             for docs, data, got in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 lens, held, known, base, score, doc, place, often = map(unpack, data)
                 got = sorted(got or [], key=lambda x: x["bucket"])
@@ -349,33 +349,26 @@ def last_scores(joined: DataFrame, model: Katz) -> DataFrame:
 def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus: int = 7, remainder: int = 2, chunk_tokens: int = CHUNK, store: str | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; learns from the rows not held out."""
     spark = docs.sparkSession
-    tune(spark)
     scratch = Scratch(spark)
-    n = partitions(spark)
     bits = bucket_bits(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     chunks = scratch.keep(chunk_table(rows, modulus, remainder, chunk_tokens))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a chunk is a row of megabytes
-    try:
-        uni = scratch.keep(answer(ask(chunks, "words", bits), True, bool(store)))
-        bi = scratch.keep(answer(ask(chunks, "bigrams", bits), False, bool(store)))
-        if store:
-            for order, table in ((1, uni), (2, bi)):
-                table.where("chunk = -2").select(F.lit(order).alias("order"), "bucket", F.col("owned").alias("keys"), "counts").write.mode("overwrite").partitionBy("order", "bucket").parquet(f"{store}/order{order}")
-        model = Katz(totals(uni), totals(bi))
-        gather = lambda df, name, *cols: df.where("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("bucket", *cols)).alias(name))
-        joined = chunks.join(gather(uni, "uni", "counts"), "chunk").join(gather(bi, "bi", "counts", "owned"), "chunk")
-        joined = joined.select("chunk", "docs", "held", "lens", "vocab", "tokens", "uni", "bi")
-        first = scratch.keep(first_scores(joined, model, bits))
-        scratch.drop(uni, bi, chunks)
-        weights = scratch.keep(history_weights(first.where("kind = 0").select("bucket", "chunk", "keys", "data"), model))
-        waiting = first.where("kind = 1").select("chunk", "docs", "data")
-        done = waiting.join(gather(weights, "got", "weights", "more"), "chunk", "left").select("docs", "data", "got")
-        out = scratch.keep(last_scores(done, model))
-        scratch.drop(first, weights)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    uni = scratch.keep(answer(ask(chunks, "words", bits), True, bool(store)))
+    bi = scratch.keep(answer(ask(chunks, "bigrams", bits), False, bool(store)))
+    if store:
+        for order, table in ((1, uni), (2, bi)):
+            table.where("chunk = -2").select(F.lit(order).alias("order"), "bucket", F.col("owned").alias("keys"), "counts").write.mode("overwrite").partitionBy("order", "bucket").parquet(f"{store}/order{order}")
+    model = Katz(totals(uni), totals(bi))
+    gather = lambda df, name, *cols: df.where("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("bucket", *cols)).alias(name))
+    joined = chunks.join(gather(uni, "uni", "counts"), "chunk").join(gather(bi, "bi", "counts", "owned"), "chunk")
+    joined = joined.select("chunk", "docs", "held", "lens", "vocab", "tokens", "uni", "bi")
+    first = scratch.keep(first_scores(joined, model, bits))
+    scratch.drop(uni, bi, chunks)
+    weights = scratch.keep(history_weights(first.where("kind = 0").select("bucket", "chunk", "keys", "data"), model))
+    waiting = first.where("kind = 1").select("chunk", "docs", "data")
+    done = waiting.join(gather(weights, "got", "weights", "more"), "chunk", "left").select("docs", "data", "got")
+    out = scratch.keep(last_scores(done, model))
+    scratch.drop(first, weights)
     return out
 
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, mix64, partitions, small
+from .common import Scratch, documents, file_bytes, mix64, partitions, small
 
 K, PARTS, SELECT, PER_RING = 8, 64, 2, 32
 #: Texts with fewer k-mers are sorted by one number a k-mer.
@@ -173,8 +173,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", range
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("_h", F.xxhash64("text"))
     if ranges is None:
-        size = int(str(docs.select(doc_id, text)._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        ranges = min(MOST_RANGES, max(2 * partitions(spark), size // RANGE))
+        ranges = min(MOST_RANGES, max(2 * partitions(spark), file_bytes(docs.select(doc_id, text)) // RANGE))
     scratch = Scratch(spark)
     ids = scratch.keep(rows.select(F.col("doc_id").alias("i"), F.col("_h").alias("h")))
     cut_i, cut_h = bounds_of(ids, ranges)

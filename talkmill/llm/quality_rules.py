@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, documents, tune, words_of
+from .common import Scratch, documents, small, words_of
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 LEAST_WORDS, MOST_REPEATS, WINDOW = 10, 20, 5
@@ -78,13 +78,12 @@ def statistics(text: str | None) -> tuple[list[int], list[float]]:
 
 def with_statistics(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
     """Adds the counts, the shares and base_failed; the text itself only goes on if asked for."""
-    tune(docs.sparkSession)
     names = {*COUNTS, *SHARES, "base_failed", "score", "kept", "_text", *([] if keep_text else [text])}
     kept = docs.select(F.col(text).alias("_text"), *[F.col(f"`{c}`") for c in docs.columns if c not in names])
     schema = T.StructType([*kept.schema.fields[1:], *[T.StructField(c, T.LongType()) for c in COUNTS], *[T.StructField(c, T.DoubleType()) for c in SHARES]])
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             got = [statistics(t) for t in batch.column(0).to_pylist()]
             counts = np.array([x for x, _ in got], np.int64).reshape(-1, len(COUNTS))
             shares = np.array([x for _, x in got], float).reshape(-1, len(SHARES))

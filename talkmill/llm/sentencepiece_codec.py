@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents, tune
+from .common import documents, small
 
 META = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -287,7 +287,6 @@ def encode(docs: DataFrame, path: str, text: str = "text", spans: bool = True, d
     """Adds ids (array of int); with `spans`, starts and ends (bytes of the original as UTF-8); with `decoded`, the decoded text.
 
     The spans are found, and checked to cover the normalised text, whether or not they are returned."""
-    tune(docs.sparkSession)
     adds = [("ids", T.ArrayType(T.IntegerType(), False)), *([("starts", T.ArrayType(T.LongType(), False)), ("ends", T.ArrayType(T.LongType(), False))] if spans else []), *([("decoded", T.StringType())] if decoded else [])]
     names = {n for n, _ in adds}
     kept = docs.select(F.col(text).alias("_text"), *[F.col(f"`{c}`") for c in docs.columns if c not in names and c != "_text"])
@@ -295,7 +294,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", spans: bool = True, d
 
     def run(batches):
         m = model(path)
-        for batch in batches:
+        for batch in small(batches):
             texts = [x or "" for x in batch.column(0).to_pylist()]
             ids, starts, ends, at = m.encode(texts)
             where = pa.array(at.astype(np.int32))
@@ -315,7 +314,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
 
     def run(batches):
         lib = model(path).lib
-        for batch in batches:
+        for batch in small(batches):
             texts = [lib.decode(x) if x else "" for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in schema.names[:-1]], pa.array(texts, pa.string())], names=schema.names)
 
