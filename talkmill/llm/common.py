@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -96,9 +97,18 @@ class Scratch:
         for df in tables:
             path, _ = self.paths.pop(id(df), (None, None))
             if path:
-                p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+                self.delete(path)
 
+    def delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+    def release(self) -> None:
+        """Spark deletes a job's shuffle files once the driver has collected what refers to them; until then they fill the
+        executors' disks. For steps between which much is shuffled."""
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def clear(self) -> None:
         self.drop(*[df for _, df in self.paths.values()])

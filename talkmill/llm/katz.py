@@ -1,29 +1,35 @@
-"""LM scoring: a Katz back-off bigram model with Good-Turing discounts and exactly normalised back-off weights.
+"""LM scoring: a Katz back-off model with Good-Turing discounts and exactly normalised back-off weights.
+
+For a word w after a history h of up to order - 1 words (less at the start of a text, which counts as one of them):
 
     p(w | h) = d(c(h w)) c(h w) / c(h)     if h w was seen        p(w) = d(c(w)) c(w) / N    if w was seen
-             = a(h) p(w)                   else                        = what the discounts leave, for all others as one
-    a(h)     = (1 - sum of p(w | h) over w seen after h) / (1 - sum of p(w) over the same w)
+             = a(h) p(w | h')               if h was seen               = what the discounts leave, for all others as one
+             = p(w | h')                    else                  h': h without its first word
+    a(h)     = (1 - sum of p(w | h) over w seen after h) / (1 - sum of p(w | h') over the same w)
 
-Discounts are Katz's: counts up to TOP get Good-Turing's, less what leaves higher counts alone; where counts of counts
-don't allow that, absolute discounting. A history all of whose followers were seen more than TOP times leaves nothing; its
-denominator is then one larger, so that something is left. All sums in a(h) are kept as integers (how often followers have
-which count), so the weights are exact however the work is split.
+Discounts are Katz's, for each order: counts up to TOP get Good-Turing's, less what leaves higher counts alone; where counts
+of counts don't allow that, absolute discounting. A history all of whose followers were seen more than TOP times leaves
+nothing; its denominator is then one larger, so that something is left. Words seen after h were seen after h', so the sums in
+a(h) are over discounted counts, which are kept as integers (how often followers have which count): the weights are exact
+however the work is split.
 
 The work goes by chunks of documents and buckets of n-grams, in rounds of requests and answers, each a shuffle of packed
 arrays rather than of a row for each token:
 
 1. Chunks (tokens as numbers of the chunk's own words) are written to the shared folder.
-2. Each chunk sends its words and their training counts to buckets of the word's hash; each bucket adds up and answers each
-   chunk with the global counts, in the order asked. Likewise for the chunk's bigrams; the first chunk that has a bigram is
-   told to be its owner.
-3. With counts and owners a chunk finds, for all its histories, what its own bigrams add to the sums in a(h), and scores all
-   but the tokens that need a(h); the sums go to buckets of the history, the weights needed come back, and are added.
+2. For each order, each chunk sends its n-grams and their training counts to buckets of the n-gram's hash; each bucket adds up,
+   stores its n-grams and counts, and answers each chunk with the global counts, in the order asked. The first chunk that
+   has an n-gram is told to be its owner.
+3. With counts and owners a chunk finds, for all its histories, what its own n-grams add to the sums in a(h), and scores all
+   but what depends on other chunks' n-grams; the sums go to buckets of the history, which store the weights; those a chunk
+   needs come back, and each token's back-off is evaluated from its longest history down.
 
-So the corpus statistics grow with the corpus but are spread over buckets; a worker holds one chunk or one bucket. Hot
-words, histories and bigrams are one entry a chunk. With `store`, the count tables are written there, partitioned by order
-and bucket. Order 2 is the highest, which is a limit: longer contexts repeat, and back-off here is one step.
+The store holds, partitioned by order and bucket, the tables of n-gram counts and of histories' weights; score_stored()
+evaluates other documents from it. Corpus statistics grow with the corpus but are spread over buckets; a worker holds one chunk
+or one bucket. Hot words, histories and n-grams are one entry a chunk.
 
-Words are told apart by hashes of 64 bits, and so are bigrams.
+Words are told apart by hashes of 64 bits, longer n-grams by hashes so wide that one in 2 ** SPARE is taken for another at
+most, 64 bits at most.
 
 Cases: null and empty texts are one end token; very long texts count whole; a chunk closes after the document that
 reaches CHUNK tokens; with no training documents every count is 0 and all tokens are the one unknown class, of probability
@@ -32,20 +38,22 @@ reaches CHUNK tokens; with no training documents every count is 0 and all tokens
 
 from __future__ import annotations
 
-import math
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, bucket_bits, crc_mod, documents, lower_ascii, mix64, small, words_of
+from .common import Scratch, bucket_bits, crc_mod, documents, lower_ascii, mix64, shared_dir, small, words_of
 
+ORDER = 3
 TOP = 5
-CHUNK = 1_000_000
+CHUNK = 500_000
+SPARE = 24
 REMEMBER = 500_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: The start and the end of a text; no word has white space.
@@ -73,9 +81,9 @@ def unpack_sorted(x: bytes) -> np.ndarray:
     return np.cumsum(unpack(x, np.uint64), dtype=np.uint64)
 
 
-def parts(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
-    """(bucket, from, to) of the sorted keys' buckets that are not empty."""
-    b = (keys >> np.uint64(64 - bits)).astype(np.int64)
+def parts(keys: np.ndarray, bits: int, width: int) -> list[tuple[int, int, int]]:
+    """(bucket, from, to) of the buckets, by leading bits, of sorted keys of `width` bits; without empty ones."""
+    b = (keys >> np.uint64(width - bits)).astype(np.int64)
     at = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])) if len(b) else np.zeros(0, np.int64)
     return [(int(b[i]), int(i), int(j)) for i, j in zip(at, np.append(at[1:], len(b)))]
 
@@ -104,8 +112,8 @@ def count_counts(c: np.ndarray) -> np.ndarray:
 
 
 def chunk_table(rows: DataFrame, modulus: int, remainder: int, chunk_tokens: int) -> DataFrame:
-    """(chunk, docs, held, lens, vocab, tokens): documents' ids, whether held out, numbers of tokens, the sorted hashes of
-    the chunk's words, and each token's place among them."""
+    """(chunk, n, docs, held, lens, vocab, tokens): the number of tokens, documents' ids, whether held out, numbers of tokens, the
+    sorted hashes of the chunk's words, and each token's place among them."""
 
     def run(batches):
         task, made = TaskContext.get().partitionId() << 24, 0
@@ -120,7 +128,7 @@ def chunk_table(rows: DataFrame, modulus: int, remainder: int, chunk_tokens: int
             vocab, tokens = np.unique(flat, return_inverse=True)
             lens = np.array([len(x) for x in hashes], np.int64)
             held = np.array([crc_mod(i, modulus) == remainder for i in docs], np.int64)
-            out = pa.RecordBatch.from_arrays([pa.array([task | made], pa.int64()), pa.array([docs], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in (pack(held), pack(lens), pack_sorted(vocab), pack(tokens.astype(np.int64))))], names=["chunk", "docs", "held", "lens", "vocab", "tokens"])
+            out = pa.RecordBatch.from_arrays([pa.array([task | made], pa.int64()), pa.array([len(flat)], pa.int64()), pa.array([docs], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in (pack(held), pack(lens), pack_sorted(vocab), pack(tokens.astype(np.int64))))], names=["chunk", "n", "docs", "held", "lens", "vocab", "tokens"])
             docs, hashes, size, made = [], [], 0, made + 1
             return out
 
@@ -139,85 +147,113 @@ def chunk_table(rows: DataFrame, modulus: int, remainder: int, chunk_tokens: int
         if docs:
             yield close()
 
-    return rows.mapInArrow(run, "chunk long, docs array<long>, held binary, lens binary, vocab binary, tokens binary")
+    return rows.mapInArrow(run, "chunk long, n long, docs array<long>, held binary, lens binary, vocab binary, tokens binary")
+
+
+class Level:
+    """A chunk's n-grams of one order: their sorted keys, each token's place among them (-1: none), training counts, each token's
+    history's place among the n-grams of the order below (order 1: none), and a token of each n-gram."""
+
+    def __init__(self, keys: np.ndarray, at: np.ndarray, counts: np.ndarray, history: np.ndarray | None, width: int):
+        self.keys, self.at, self.counts, self.history, self.width = keys, at, counts.astype(np.int64), history, width
+        self.some = np.zeros(len(keys), np.int64)
+        self.some[at[at >= 0]] = np.flatnonzero(at >= 0)
 
 
 class Chunk:
-    def __init__(self, held: bytes, lens: bytes, vocab: bytes, tokens: bytes):
+    """levels[k]: order k + 1. The words' level also has the start of a text."""
+
+    def __init__(self, held: bytes, lens: bytes, vocab: bytes, tokens: bytes, orders: int, width: int):
         self.held, self.lens = unpack(held).astype(bool), unpack(lens)
-        self.vocab, self.tokens = unpack_sorted(vocab), unpack(tokens)
+        vocab, tokens = unpack_sorted(vocab), unpack(tokens)
         self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
-        self.first = np.cumsum(self.lens) - self.lens
-        self.train = ~self.held[self.doc]
-
-    def histories(self) -> tuple[np.ndarray, np.ndarray]:
-        """(the histories' sorted hashes, each token's history's place): the words, and the start of a text."""
-        place = int(np.searchsorted(self.vocab, START))
-        names = np.insert(self.vocab, place, START)
-        own = self.tokens + (self.tokens >= place)
-        before = np.concatenate([[0], own[:-1]])
-        before[self.first] = place
-        return names, before
-
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """(hashes with the start's, training counts): the start counts the training documents."""
-        names, _ = self.histories()
-        place = int(np.searchsorted(self.vocab, START))
-        counts = np.bincount(self.tokens[self.train], minlength=len(self.vocab))
-        return names, np.insert(counts, place, int((~self.held).sum())).astype(np.int64)
-
-    def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(sorted keys, each token's place among them, training counts)."""
-        names, before = self.histories()
-        with np.errstate(over="ignore"):
-            keys = mix64(names[before] * _BASE + self.vocab[self.tokens])
-        keys, place = np.unique(keys, return_inverse=True)
-        return keys, place, np.bincount(place[self.train], minlength=len(keys)).astype(np.int64)
-
-
-MESSAGE = "bucket int, chunk long, keys binary, counts binary"
-ANSWER = "chunk long, bucket int, counts binary, owned binary"
-
-
-def ask(chunks: DataFrame, what: str, bits: int) -> DataFrame:
+        first = np.cumsum(self.lens) - self.lens
+        place = np.arange(len(tokens)) - first[self.doc]
+        train = ~self.held[self.doc]
+        start = int(np.searchsorted(vocab, START))
+        names, own = np.insert(vocab, start, START), tokens + (tokens >= start)
+        counts = np.bincount(own[train], minlength=len(names))
+        counts[start] = (~self.held).sum()
+        self.levels = [Level(names, own, counts, None, 64)]
+        raw = word = vocab[tokens]
+        before = np.concatenate([[start], own[:-1]])
+        before[first] = start
+        hashes = names[before]
+        for k in range(2, orders + 1):
+            if k > 2:
+                before = np.concatenate([[-1], self.levels[-1].at[:-1]])
+                hashes = np.concatenate([[START], raw[:-1]])
+            there = place >= k - 2
+            with np.errstate(over="ignore"):
+                raw = mix64(hashes * _BASE + word)
+            keys, inverse = np.unique(raw[there] >> np.uint64(64 - width), return_inverse=True)
+            at = np.full(len(tokens), -1)
+            at[there] = inverse
+            self.levels.append(Level(keys, at, np.bincount(inverse[train[there]], minlength=len(keys)), np.where(there, before, -1), width))
+
+
+_CHUNK = ("held", "lens", "vocab", "tokens")
+
+
+def ask(chunks: DataFrame, order: int, bits: int, width: int) -> DataFrame:
+    """(bucket, chunk, keys, counts): each chunk's n-grams of one order."""
+
     def run(batches):
         for batch in small(batches, 1):  # a chunk is a row of megabytes
             for chunk, *rest in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                c = Chunk(*rest)
-                keys, *_, counts = getattr(c, what)()
-                cut = parts(keys, bits)
-                cols = [[b for b, _, _ in cut], [chunk] * len(cut), [pack_sorted(keys[i:j]) for _, i, j in cut], [pack(counts[i:j]) for _, i, j in cut]]
+                level = Chunk(*rest, order, width).levels[-1]
+                cut = parts(level.keys, bits, level.width)
+                cols = [[b for b, _, _ in cut], [chunk] * len(cut), [pack_sorted(level.keys[i:j]) for _, i, j in cut], [pack(level.counts[i:j]) for _, i, j in cut]]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "chunk", "keys", "counts"])
 
-    return chunks.select("chunk", "held", "lens", "vocab", "tokens").mapInArrow(run, MESSAGE)
+    return chunks.select("chunk", *_CHUNK).mapInArrow(run, "bucket int, chunk long, keys binary, counts binary")
 
 
-def answer(asked: DataFrame, with_start: bool, stored: bool) -> DataFrame:
+ANSWER = "chunk long, bucket int, counts binary, other binary"
+
+
+def _answers(rows: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 4, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "bucket", "counts", "other"])
+
+
+def answer(asked: DataFrame, words: bool) -> DataFrame:
     """For each bucket: an answer to each chunk (the global counts of its keys; which it owns), one row with chunk -1 (tokens,
-    types, counts of counts), and with `stored` one with chunk -2 (keys and counts of the bucket)."""
+    types, counts of counts), and one with chunk -2 (counts and keys of the bucket)."""
 
     def add(key, table):
         table = table.sort_by("chunk")
         keys = [unpack_sorted(x) for x in table.column("keys").to_pylist()]
         own = np.concatenate([unpack(x) for x in table.column("counts").to_pylist()])
-        flat = np.concatenate(keys)
-        names, first, where = np.unique(flat, return_index=True, return_inverse=True)
+        names, first, where = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         total = np.bincount(where, own, len(names)).astype(np.int64)
-        owner = np.zeros(len(flat), np.int64)
+        owner = np.zeros(len(own), np.int64)
         owner[first[total > 0]] = 1
-        real = total[names != START] if with_start else total
+        real = total[names != START] if words else total
         stats = np.concatenate([[real.sum(), (real > 0).sum()], count_counts(real)]).astype(np.int64)
         ends = np.cumsum([len(x) for x in keys])
         chunks, bucket = table.column("chunk").to_pylist(), key[0].as_py()
         rows = [(c, bucket, pack(total[where[j - len(k) : j]]), pack(owner[j - len(k) : j])) for c, k, j in zip(chunks, keys, ends)]
-        rows.append((-1, bucket, pack(stats), b""))
-        if stored:
-            rows.append((-2, bucket, pack(total[total > 0]), pack_sorted(names[total > 0])))
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "bucket", "counts", "owned"])
+        return _answers([*rows, (-1, bucket, pack(stats), b""), (-2, bucket, pack(total[total > 0]), pack_sorted(names[total > 0]))])
 
     return asked.groupBy("bucket").applyInArrow(add, ANSWER)
 
 
+def looked_up(asked: DataFrame, table: DataFrame) -> DataFrame:
+    """The answers that a store's counts (bucket, keys, counts) give; nobody owns anything."""
+
+    def find(key, asked, table):
+        names = np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(x) for x in table.column("keys").to_pylist())])
+        total = np.append(np.concatenate([np.zeros(0, np.int64), *(unpack(x) for x in table.column("counts").to_pylist())]), 0)
+        rows = []
+        for chunk, x in zip(asked.column("chunk").to_pylist(), map(unpack_sorted, asked.column("keys").to_pylist())):
+            at = np.minimum(np.searchsorted(names, x), max(0, len(names) - 1))
+            there = names[at] == x if len(names) else np.zeros(len(x), bool)
+            rows.append((chunk, key[0].as_py(), pack(np.where(there, total[at], 0)), pack(np.zeros(len(x), np.int64))))
+        return _answers(rows)
+
+    return asked.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(find, ANSWER)
+
+
 def totals(answers: DataFrame) -> np.ndarray:
     """(tokens, types, counts of counts 0 ... TOP + 1): one short row a bucket."""
     out = np.zeros(4 + TOP, np.int64)
@@ -227,148 +263,257 @@ def totals(answers: DataFrame) -> np.ndarray:
 
 
 class Katz:
-    """The numbers that all chunks share."""
+    """The numbers that all chunks share, from each order's totals."""
 
-    def __init__(self, words: np.ndarray, bigrams: np.ndarray):
-        self.n, self.v = int(words[0]), int(words[1])
-        self.d1, self.d2 = discounts(words[2:]), discounts(bigrams[2:])
+    def __init__(self, orders: list[np.ndarray], width: int, bits: int):
+        self.orders, self.width, self.bits = orders, width, bits
+        self.n, self.v = int(orders[0][0]), int(orders[0][1])
+        self.d = [discounts(x[2:]) for x in orders]
         r = np.arange(TOP + 1)
-        left = float((words[2 : 3 + TOP] * r * (1 - self.d1))[1:].sum())
+        left = float((orders[0][2 : 3 + TOP] * r * (1 - self.d[0]))[1:].sum())
         self.total = self.n if left > 0 else self.n + 1
-        self.unknown = (left if left > 0 else 1.0) / self.total
-        #: discounted counts up to TOP, as d[r] * r
-        self.low = np.concatenate([[0.0], (self.d1 * r)[1:]])
+        self.unknown = (left if left > 0 else 1.0) / max(1, self.total)
 
     def word(self, c: np.ndarray) -> np.ndarray:
         """p(w), by the word's count."""
-        d = np.where(c <= TOP, self.d1[np.minimum(c, TOP)], 1.0)
+        d = np.where(c <= TOP, self.d[0][np.minimum(c, TOP)], 1.0)
         return np.where(c > 0, d * c / max(1, self.total), self.unknown)
 
-    def weights(self, c: np.ndarray, rare: np.ndarray, high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(a(h), what the denominator c(h) becomes). rare: followers seen r times after h (r = 1 ... TOP); high: sum of the
-        counts of followers whose own count is above TOP; low: followers with own count r."""
+    def weights(self, k: int, c: np.ndarray, rare: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """For histories of order k n-grams, rows of: log10 of what is left over the denominator; what the followers have of the
+        order below, in discounted counts; log10 of c(h) over the denominator; the denominator. rare: followers seen r times
+        after h (r = 1 ... TOP); high: sum of the counts below of followers whose count below is more than TOP; low: followers
+        with count r below."""
         r = np.arange(1, TOP + 1)
-        left = (rare * (r * (1 - self.d2[1:]))).sum(axis=1)
-        below = np.where(left > 0, c, c + 1)
+        left = (rare * (r * (1 - self.d[k - 1][1:]))).sum(axis=1)
+        below = np.maximum(np.where(left > 0, c, c + 1), 1)
         left = np.where(left > 0, left, 1.0)
-        seen = (high + (low * self.low[1:]).sum(axis=1)) / max(1, self.total)
-        return left / np.maximum(below, 1) / np.maximum(1.0 - seen, 1e-300), below
+        return np.stack([np.log10(left / below), high + (low * (r * self.d[k - 2][1:])).sum(axis=1), np.log10(np.maximum(c, 1) / below), below.astype(float)])
 
 
-def first_scores(joined: DataFrame, model: Katz, bits: int) -> DataFrame:
-    """kind 0: sums for histories, to buckets (keys; data: pairs of numbers). kind 1: a chunk's documents with all but the
-    weights, and the places that wait for one."""
-    out = "kind int, bucket int, chunk long, keys binary, data array<binary>, docs array<long>"
+def counted_in(k: int, c: Chunk, counts: list[np.ndarray], has_rare: list[np.ndarray], level: np.ndarray):
+    """For the order k of a chunk: tokens that wait for their history (places), and whether for its denominator only."""
+    own = c.levels[k - 1]
+    there = np.flatnonzero(own.history >= 0)
+    seen = there[counts[k - 2][own.history[there]] > 0]
+    often = (level[seen] == k) & (counts[k - 1][own.at[seen]] > TOP) & ~has_rare[k - 1][own.history[seen]]
+    wait = (level[seen] < k) | often
+    return seen[wait], often[wait]
+
+
+def first_scores(joined: DataFrame, model: Katz, orders: int) -> DataFrame:
+    """kind 0: sums for histories, to buckets (keys; data: numbers). kind 1: a chunk's documents with all but what waits."""
+    out = "kind int, level int, bucket int, chunk long, keys binary, data array<binary>, docs array<long>"
 
     def run(batches):
-        for batch in small(batches, 1):  # a chunk is a row of megabytes
-            for chunk, docs, held, lens, vocab, tokens, uni, bi in zip(*(batch.column(i).to_pylist() for i in range(8))):
-                c = Chunk(held, lens, vocab, tokens)
-                names, before = c.histories()
-                place = int(np.searchsorted(c.vocab, START))
-                c_hist = np.concatenate([unpack(x["counts"]) for x in sorted(uni, key=lambda x: x["bucket"])])
-                c_word = np.delete(c_hist, place)
-                keys, at, _ = c.bigrams()
-                bi = sorted(bi, key=lambda x: x["bucket"])
-                c_pair = np.concatenate([unpack(x["counts"]) for x in bi])
-                owned = np.concatenate([unpack(x["owned"]) for x in bi]).astype(bool)
-                some = np.zeros(len(keys), np.int64)
-                some[at] = np.arange(len(at))  # a token of each bigram
-                hist, word = before[some], c.tokens[some]
-                # what this chunk's own bigrams add to the sums of their histories
-                h, w, n = hist[owned], c_word[word[owned]], c_pair[owned]
-                size = len(names)
-                rare = np.stack([np.bincount(h[n == r], minlength=size) for r in range(1, TOP + 1)], axis=1)
-                low = np.stack([np.bincount(h[w == r], minlength=size) for r in range(1, TOP + 1)], axis=1)
-                high = np.bincount(h, np.where(w > TOP, w, 0), size).astype(np.int64)
-                # all tokens but for weights
-                cw, cp, ch = c_word[c.tokens], c_pair[at], c_hist[before]
-                d = np.where(cp <= TOP, model.d2[np.minimum(cp, TOP)], 1.0)
-                p = np.where(cp > 0, d * cp / np.maximum(ch, 1), model.word(cw))
+        for batch in small(batches, 1):
+            for chunk, docs, *rest in zip(*(batch.column(i).to_pylist() for i in range(6 + orders))):
+                c = Chunk(*rest[:4], orders, model.width)
+                got = [sorted(x, key=lambda y: y["bucket"]) for x in rest[4:]]
+                counts = [np.concatenate([unpack(y["counts"]) for y in x] or [np.zeros(0, np.int64)]) for x in got]
+                owned = [np.concatenate([unpack(y["other"]) for y in x] or [np.zeros(0, np.int64)]).astype(bool) for x in got]
+                words = counts[0][c.levels[0].at]
+                # the longest order that each token's n-gram was seen in, and its probability there
+                level, p = np.zeros(len(c.doc), np.int64), model.word(words)
+                has_rare = [np.zeros(0, bool)]
+                for k in range(2, orders + 1):
+                    own, n = c.levels[k - 1], counts[k - 1]
+                    there = np.flatnonzero(own.at >= 0)
+                    there = there[n[own.at[there]] > 0]
+                    x = n[own.at[there]]
+                    level[there] = k
+                    p[there] = np.where(x <= TOP, model.d[k - 1][np.minimum(x, TOP)], 1.0) * x / np.maximum(counts[k - 2][own.history[there]], 1)
+                    has_rare.append(np.bincount(own.history[own.some[(n > 0) & (n <= TOP)]], minlength=len(c.levels[k - 2].keys)) > 0)
                 score = np.bincount(c.doc, np.log10(np.maximum(p, 1e-300)), len(docs))
-                base = np.bincount(c.doc, np.log10((cw + 1) / (model.n + model.v + 1)), len(docs))
-                known = np.bincount(c.doc, cw > 0, len(docs)).astype(np.int64)
-                # unseen pairs wait for a(h); pairs seen more than TOP times for c(h), if no rare follower is known here
-                has_rare = np.bincount(hist[(c_pair > 0) & (c_pair <= TOP)], minlength=size) > 0
-                unseen, often = (cp == 0) & (ch > 0), (cp > TOP) & ~has_rare[before]
-                wait = np.flatnonzero(unseen | often)
-                need = np.zeros(size, bool)
-                need[before[wait]] = True
-                sums = np.zeros(size, bool)
-                sums[h] = True
-                go = np.flatnonzero(need | sums)
-                sent, rows = names[go], []
-                lists = np.concatenate([need[go][:, None], c_hist[go][:, None], high[go][:, None], rare[go], low[go]], axis=1).astype(np.int64)
-                for b, i, j in parts(sent, bits):
-                    rows.append((0, b, chunk, pack_sorted(sent[i:j]), [pack(x) for x in lists[i:j].T], None))
-                wanted = np.flatnonzero(need)
-                data = [pack(x) for x in (c.lens, c.held.astype(np.int64), known, base.view(np.int64), score.view(np.int64), c.doc[wait], np.searchsorted(wanted, before[wait]), often[wait].astype(np.int64))]
-                rows.append((1, -1, chunk, None, data, docs))
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())))], names=["kind", "bucket", "chunk", "keys", "data", "docs"])
+                base = np.bincount(c.doc, np.log10((words + 1) / (model.n + model.v + 1)), len(docs))
+                known = np.bincount(c.doc, words > 0, len(docs)).astype(np.int64)
+                waits = {k: counted_in(k, c, counts, has_rare, level) for k in range(2, orders + 1)}
+                need = {k: np.zeros(len(c.levels[k - 2].keys), bool) for k in waits}
+                shorter = {}
+                for k in range(orders, 1, -1):
+                    own = c.levels[k - 1]
+                    need[k][own.history[waits[k][0]]] = True
+                    if k > 2:  # a weight needs the denominator of the shorter history
+                        there = np.flatnonzero(own.history >= 0)
+                        shorter[k] = np.zeros(len(need[k]), np.int64)
+                        shorter[k][own.history[there]] = c.levels[k - 2].history[there]
+                        ask_for = shorter[k][need[k]]
+                        need[k - 1][ask_for[~has_rare[k - 2][ask_for]]] = True
+                rows, data = [], [pack(c.lens), pack(c.held.astype(np.int64)), pack(known), pack(base.view(np.int64)), pack(score.view(np.int64))]
+                for k in range(2, orders + 1):
+                    own, names = c.levels[k - 1], c.levels[k - 2]
+                    size = len(names.keys)
+                    # what this chunk's own n-grams add to the sums of their histories
+                    some = own.some[owned[k - 1]]
+                    h, n, low = own.history[some], counts[k - 1][owned[k - 1]], counts[k - 2][names.at[some]]
+                    lists = np.zeros((size, 3 + 2 * TOP), np.int64)
+                    lists[:, 0], lists[:, 1] = need[k], counts[k - 2]
+                    lists[:, 2] = np.bincount(h, np.where(low > TOP, low, 0), size).astype(np.int64)
+                    for r in range(1, TOP + 1):
+                        lists[:, 2 + r] = np.bincount(h[n == r], minlength=size)
+                        lists[:, 2 + TOP + r] = np.bincount(h[low == r], minlength=size)
+                    adds = np.zeros(size, bool)
+                    adds[h] = True
+                    go = np.flatnonzero(need[k] | adds)
+                    sent, lists = names.keys[go], lists[go]
+                    rows += [(0, k, b, chunk, pack_sorted(sent[i:j]), [pack(np.ascontiguousarray(x)) for x in lists[i:j].T], None) for b, i, j in parts(sent, model.bits, names.width)]
+                    wanted = np.flatnonzero(need[k])
+                    at, often = waits[k]
+                    lower, lower_c = np.full(len(wanted), -1), np.zeros(len(wanted), np.int64)
+                    if k > 2:
+                        s = shorter[k][wanted]
+                        asked = need[k - 1][s]
+                        lower[asked] = np.searchsorted(np.flatnonzero(need[k - 1]), s[asked])
+                        lower_c = counts[k - 3][s]
+                    data += [pack(x.astype(np.int64)) for x in (c.doc[at], np.searchsorted(wanted, own.history[at]), often, lower, lower_c)]
+                rows.append((1, 0, -1, chunk, None, data, docs))
+                kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["kind", "level", "bucket", "chunk", "keys", "data", "docs"])
 
     return joined.mapInArrow(run, out)
 
 
+WEIGHTS = "chunk long, level int, bucket int, keys binary, weights array<binary>"
+
+
+def _weights(rows: list[tuple]) -> pa.Table:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.binary()))
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 5, kinds)], names=["chunk", "level", "bucket", "keys", "weights"])
+
+
+def _packed(weights: np.ndarray) -> list[bytes]:
+    return [pack(np.ascontiguousarray(x).view(np.int64)) for x in weights]
+
+
 def history_weights(sums: DataFrame, model: Katz) -> DataFrame:
-    """(chunk, bucket, weights, more): log10 a(h) of the histories that the chunk needs, and log10(c(h) / denominator)."""
+    """For each level and bucket: the weights that each chunk needs, in its keys' order, and one row with chunk -2 (all keys and
+    weights)."""
 
     def add(key, table):
         keys = [unpack_sorted(x) for x in table.column("keys").to_pylist()]
-        lists = [np.stack([unpack(y) for y in x], axis=1) for x in table.column("data").to_pylist()]
+        every = np.concatenate([np.stack([unpack(y) for y in x], axis=1) for x in table.column("data").to_pylist()])
         names, where = np.unique(np.concatenate(keys), return_inverse=True)
-        every = np.concatenate(lists)
-        total = np.zeros((len(names), every.shape[1]), np.int64)
-        np.add.at(total, where, every)
+        order = np.argsort(where, kind="stable")
+        total = np.add.reduceat(every[order], np.searchsorted(where[order], np.arange(len(names))), axis=0)
         count = np.zeros(len(names), np.int64)
         count[where] = every[:, 1]
-        weight, below = model.weights(count, total[:, 3 : 3 + TOP], total[:, 2], total[:, 3 + TOP :])
+        level, bucket = key[0].as_py(), key[1].as_py()
+        got = model.weights(level, count, total[:, 3 : 3 + TOP], total[:, 2], total[:, 3 + TOP :])
         ends, rows = np.cumsum([len(x) for x in keys]), []
-        for chunk, k, x, j in zip(table.column("chunk").to_pylist(), keys, lists, ends):
-            at = where[j - len(k) : j][x[:, 0] > 0]
+        for chunk, k, j in zip(table.column("chunk").to_pylist(), keys, ends):
+            at = where[j - len(k) : j][every[j - len(k) : j, 0] > 0]
             if len(at):
-                rows.append((chunk, key[0].as_py(), pack(np.log10(weight[at]).view(np.int64)), pack(np.log10(np.maximum(count[at], 1) / np.maximum(below[at], 1)).view(np.int64))))
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 4, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "bucket", "weights", "more"])
+                rows.append((chunk, level, bucket, None, _packed(got[:, at])))
+        return _weights([*rows, (-2, level, bucket, pack_sorted(names), _packed(got))])
+
+    return sums.groupBy("level", "bucket").applyInArrow(add, WEIGHTS)
+
 
-    return sums.groupBy("bucket").applyInArrow(add, "chunk long, bucket int, weights binary, more binary")
+def looked_up_weights(asked: DataFrame, table: DataFrame) -> DataFrame:
+    """The same from a store's weights (level, bucket, keys, weights)."""
 
+    def find(key, asked, table):
+        names = np.concatenate([np.zeros(0, np.uint64), *(unpack_sorted(x) for x in table.column("keys").to_pylist())])
+        got = [np.stack([unpack(y, np.float64) for y in x]) for x in table.column("weights").to_pylist()]
+        rows = []
+        for chunk, x in zip(asked.column("chunk").to_pylist(), map(unpack_sorted, asked.column("keys").to_pylist())):
+            rows.append((chunk, key[0].as_py(), key[1].as_py(), None, _packed(got[0][:, np.searchsorted(names, x)])))
+        return _weights(rows)
 
-def last_scores(joined: DataFrame, model: Katz) -> DataFrame:
+    return asked.groupBy("level", "bucket").cogroup(table.groupBy("level", "bucket")).applyInArrow(find, WEIGHTS)
+
+
+def last_scores(joined: DataFrame, model: Katz, orders: int) -> DataFrame:
     def run(batches):
-        for batch in small(batches, 1):  # a chunk is a row of megabytes
+        for batch in small(batches, 1):
             for docs, data, got in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                lens, held, known, base, score, doc, place, often = map(unpack, data)
-                got = sorted(got or [], key=lambda x: x["bucket"])
-                weights, more = (np.concatenate([np.zeros(0), *(unpack(x[k], np.float64) for x in got)]) for k in ("weights", "more"))
-                extra = np.where(often > 0, more[place], weights[place]) if len(place) else np.zeros(0)
-                score = score.view(np.float64) + np.bincount(doc, extra, len(docs))
+                lens, held, known, base, score = map(unpack, data[:5])
+                score = score.view(np.float64).copy()
+                below = None
+                for k in range(2, orders + 1):
+                    doc, place, often, lower, lower_c = map(unpack, data[5 * k - 5 : 5 * k])
+                    own = sorted((x for x in got or [] if x["level"] == k), key=lambda x: x["bucket"])
+                    left, seen, more, now = (np.concatenate([np.zeros(0), *(unpack(x["weights"][i], np.float64) for x in own)]) for i in range(4))
+                    under = np.full(len(left), float(max(1, model.total))) if k == 2 else np.maximum(lower_c, 1).astype(float)
+                    if k > 2 and (lower >= 0).any():
+                        under[lower >= 0] = below[lower[lower >= 0]]
+                    weight = left - np.log10(np.maximum(1.0 - seen / under, 1e-300))
+                    if len(doc):
+                        score += np.bincount(doc, np.where(often > 0, more[place], weight[place]), len(docs))
+                    below = now
                 yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(held > 0), pa.array(lens), pa.array(known), pa.array(np.full(len(docs), model.n)), pa.array(base.view(np.float64)), pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return joined.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", modulus: int = 7, remainder: int = 2, chunk_tokens: int = CHUNK, store: str | None = None) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; learns from the rows not held out."""
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+
+
+def _gather(df: DataFrame, name: str, *cols: str) -> DataFrame:
+    return df.where("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("bucket", *cols)).alias(name))
+
+
+def _with_answers(chunks: DataFrame, answers: list[DataFrame]) -> DataFrame:
+    for k, x in enumerate(answers, 1):
+        chunks = chunks.join(_gather(x, f"_{k}", "counts", "other"), "chunk")
+    return chunks.select("chunk", "docs", *_CHUNK, *[f"_{k}" for k in range(1, len(answers) + 1)])
+
+
+def _finish(first: DataFrame, weights: DataFrame, model: Katz, orders: int) -> DataFrame:
+    waiting = first.where("kind = 1").select("chunk", "docs", "data")
+    return last_scores(waiting.join(_gather(weights, "got", "level", "weights"), "chunk", "left").select("docs", "data", "got"), model, orders)
+
+
+def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, modulus: int = 7, remainder: int = 2, chunk_tokens: int = CHUNK, store: str | None = None) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; learns from the rows not held out.
+    store: a path for the model's tables; a folder of its own below the shared one by default, deleted in the end."""
+    if order < 2:
+        raise ValueError("order must be 2 at least")
     spark = docs.sparkSession
     scratch = Scratch(spark)
+    own = store or f"{shared_dir(spark)}/talkmill/{uuid.uuid4().hex}"
     bits = bucket_bits(spark)
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    chunks = scratch.keep(chunk_table(rows, modulus, remainder, chunk_tokens))
-    uni = scratch.keep(answer(ask(chunks, "words", bits), True, bool(store)))
-    bi = scratch.keep(answer(ask(chunks, "bigrams", bits), False, bool(store)))
-    if store:
-        for order, table in ((1, uni), (2, bi)):
-            table.where("chunk = -2").select(F.lit(order).alias("order"), "bucket", F.col("owned").alias("keys"), "counts").write.mode("overwrite").partitionBy("order", "bucket").parquet(f"{store}/order{order}")
-    model = Katz(totals(uni), totals(bi))
-    gather = lambda df, name, *cols: df.where("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("bucket", *cols)).alias(name))
-    joined = chunks.join(gather(uni, "uni", "counts"), "chunk").join(gather(bi, "bi", "counts", "owned"), "chunk")
-    joined = joined.select("chunk", "docs", "held", "lens", "vocab", "tokens", "uni", "bi")
-    first = scratch.keep(first_scores(joined, model, bits))
-    scratch.drop(uni, bi, chunks)
-    weights = scratch.keep(history_weights(first.where("kind = 0").select("bucket", "chunk", "keys", "data"), model))
-    waiting = first.where("kind = 1").select("chunk", "docs", "data")
-    done = waiting.join(gather(weights, "got", "weights", "more"), "chunk", "left").select("docs", "data", "got")
-    out = scratch.keep(last_scores(done, model))
+    chunks = scratch.keep(chunk_table(_rows(docs, doc_id, text), modulus, remainder, chunk_tokens))
+    width = min(64, int(chunks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]).bit_length() + SPARE)
+    answers = []
+    for k in range(1, order + 1):
+        answers.append(scratch.keep(answer(ask(chunks, k, bits, width), k == 1)))
+        answers[-1].where("chunk = -2").select("bucket", F.col("other").alias("keys"), "counts").write.partitionBy("bucket").parquet(f"{own}/counts/order={k}")
+        scratch.release()
+    model = Katz([totals(x) for x in answers], width, bits)
+    spark.createDataFrame([(k, x.tolist(), width, bits) for k, x in enumerate(model.orders, 1)], "level int, totals array<long>, width int, bits int").coalesce(1).write.parquet(f"{own}/model")
+    first = scratch.keep(first_scores(_with_answers(chunks, answers), model, order))
+    scratch.drop(*answers, chunks)
+    scratch.release()
+    weights = scratch.keep(history_weights(first.where("kind = 0").select("level", "bucket", "chunk", "keys", "data"), model))
+    weights.where("chunk = -2").select("level", "bucket", "keys", "weights").write.partitionBy("level", "bucket").parquet(f"{own}/weights")
+    scratch.release()
+    out = scratch.keep(_finish(first, weights, model, order))
     scratch.drop(first, weights)
+    if not store:
+        scratch.delete(own)
+    return out
+
+
+def load_model(spark: SparkSession, store: str) -> Katz:
+    rows = spark.read.parquet(f"{store}/model").orderBy("level").collect()
+    return Katz([np.array(r.totals, np.int64) for r in rows], rows[0].width, rows[0].bits)
+
+
+def score_stored(docs: DataFrame, store: str, doc_id: str = "doc_id", text: str = "text", modulus: int = 7, remainder: int = 2, chunk_tokens: int = CHUNK) -> DataFrame:
+    """The scores of other documents by the tables in a store; held_out goes by the same rule, and changes nothing."""
+    spark = docs.sparkSession
+    scratch, model = Scratch(spark), load_model(spark, store)
+    order = len(model.orders)
+    chunks = scratch.keep(chunk_table(_rows(docs, doc_id, text), modulus, remainder, chunk_tokens))
+    tables = [spark.read.schema("keys binary, counts binary, bucket int").parquet(f"{store}/counts/order={k}") for k in range(1, order + 1)]
+    answers = [scratch.keep(looked_up(ask(chunks, k, model.bits, model.width), x)) for k, x in enumerate(tables, 1)]
+    first = scratch.keep(first_scores(_with_answers(chunks, answers), model, order))
+    weights = spark.read.schema("keys binary, weights array<binary>, level int, bucket int").parquet(f"{store}/weights")
+    found = scratch.keep(looked_up_weights(first.where("kind = 0").select("level", "bucket", "chunk", "keys"), weights))
+    out = scratch.keep(_finish(first, found, model, order))
+    scratch.drop(chunks, *answers, first, found)
     return out
 
 

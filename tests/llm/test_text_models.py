@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from talkmill.llm import katz, language_id, order_minhash, quality_rules, sentencepiece_codec
-from talkmill.llm.common import words_of
+from talkmill.llm.common import shared_dir, words_of
 
 SAMPLES = [
     "", " ", "  a", "a  b   c ", "Hello world", "line\nnext\n\nlast", "\n", " \n ", "tab\tand▁meta ▁", "über naïve café", "日本語 テスト", "😀😀 x", "a\x00b", "<s> </s> <0x0A>", "  spaces", "\r\nx", "word " * 3000, None,
@@ -297,47 +298,66 @@ def test_quality_rules(spark):
     assert quality_rules.judge(stats.limit(0), quality_rules.fit(stats.limit(0), labels)).collect() == []
 
 
-def test_katz_against_its_definition(spark):
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_katz_against_its_definition(spark, order):
     rng = random.Random(8)
     words = [f"W{i}" for i in range(120)]
     rows = [(i, " ".join(rng.choices(words, [1 / (k + 1) for k in range(120)], k=rng.randint(0, 60)))) for i in range(220)]
     rows += [(1000, None), (1001, ""), (1002, "unseen words\u00a0here"), (1003, "w0 " * 3000), (5, rows[5][1])]
-    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = sorted(katz.katz_scores(df, chunk_tokens=500).collect(), key=str)
-    uni, pairs, docs = Counter(), Counter(), []
+    rows += [(2000 + i, f"always after this w{i % 4}") for i in range(40)] + [(3000 + i, "q r s t u") for i in range(40)] + [(None, "q r w0 s t")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, keys string").repartition(3)
+    store = f"{shared_dir(spark)}/katz-{order}-{random.random()}"
+    got = sorted(katz.katz_scores(df, order=order, chunk_tokens=500, store=store).collect(), key=str)
+    grams, docs = [Counter() for _ in range(order)], []
     for i, t in rows:
         w = [*words_of((t or "").lower()), "\n"]
-        held = zlib.crc32(str(i).encode()) % 7 == 2
+        held = zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
         docs.append((i, w, held))
         if not held:
-            uni.update(w)
-            pairs.update(zip(["\t", *w[:-1]], w))
-    n, v = sum(uni.values()), len(uni)
-    d1, d2 = (katz.discounts(katz.count_counts(np.array(list(c.values())))) for c in (uni, pairs))
-    p1 = {w: (d1[c] if c <= katz.TOP else 1) * c / n for w, c in uni.items()}
-    unknown = 1 - sum(p1.values())
-    follow = defaultdict(list)
-    for (h, w), c in pairs.items():
-        follow[h].append((w, c))
-    back = {}
-    for h, x in follow.items():
-        total, left = sum(c for _, c in x), sum(c * (1 - d2[c]) for _, c in x if c <= katz.TOP)
-        below, left = (total, left) if left > 0 else (total + 1, 1)
-        back[h] = (left / below / (1 - sum(p1[w] for w, _ in x)), below)
-        seen = {w for w, _ in x}
-        assert sum((d2[c] if c <= katz.TOP else 1) * c / below for _, c in x) + back[h][0] * (unknown + sum(p for w, p in p1.items() if w not in seen)) == pytest.approx(1)
-
-    def log_p(h, w):
-        c = pairs.get((h, w), 0)
-        if c:
-            return math.log10((d2[c] if c <= katz.TOP else 1) * c / back[h][1])
-        return math.log10((back[h][0] if h in back else 1) * p1.get(w, unknown))
-
-    want = sorted(((i, held, len(w), sum(x in uni for x in w), n, sum(math.log10((uni.get(x, 0) + 1) / (n + v + 1)) for x in w), sum(map(log_p, ["\t", *w[:-1]], w))) for i, w, held in docs), key=str)
+            x = ["\t", *w]
+            for k in range(order):
+                grams[k].update(tuple(x[j - k : j + 1]) for j in range(1, len(x)) if j >= k)
+    n, v = sum(grams[0].values()), len(grams[0])
+    d = [katz.discounts(katz.count_counts(np.array(list(c.values())))) for c in grams]
+    less = lambda k, c: d[k][c] * c if c <= katz.TOP else c
+    unknown = 1 - sum(less(0, c) for c in grams[0].values()) / n
+    follow = defaultdict(dict)
+    for k in range(1, order):
+        for g, c in grams[k].items():
+            follow[g[:-1]][g[-1]] = c
+
+    @lru_cache(maxsize=None)
+    def weight(h):
+        """(a(h), the denominator)."""
+        x, k = follow[h], len(h)
+        total, left = sum(x.values()), sum(c - less(k, c) for c in x.values())
+        below, left = (total, left) if left > 1e-12 else (total + 1, 1)
+        return left / below / (1 - sum(p(h[1:], w) for w in x)), below
+
+    def p(h, w):
+        if not h:
+            return less(0, grams[0][(w,)]) / n if (w,) in grams[0] else unknown
+        if h not in follow:
+            return p(h[1:], w)
+        if w in follow[h]:
+            return less(len(h), follow[h][w]) / weight(h)[1]
+        return weight(h)[0] * p(h[1:], w)
+
+    for h in list(follow)[:: max(1, len(follow) // 60)]:  # what a history gives all words together
+        assert sum(p(h, w) for (w,) in grams[0]) + p(h, "never seen") == pytest.approx(1)
+
+    def log_p(x, j):
+        return math.log10(p(tuple(x[max(0, j - order + 1) : j]), x[j]))
+
+    want = [(i, held, len(w), sum((x,) in grams[0] for x in w), n, sum(math.log10((grams[0].get((x,), 0) + 1) / (n + v + 1)) for x in w), sum(log_p(["\t", *w], j) for j in range(1, len(w) + 1))) for i, w, held in docs]
+    key = lambda r: (r[0] is None, r[0] or 0, r[2])
     assert len(got) == len(want)
-    for g, w in zip(sorted(got, key=lambda r: (r.doc_id, r.n_tokens)), sorted(want, key=lambda r: (r[0], r[2]))):
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
         assert tuple(g)[:5] == w[:5] and g.base_score == pytest.approx(w[5]) and g.score == pytest.approx(w[6])
-    assert katz.katz_scores(df.limit(0)).collect() == []
+    again = sorted(katz.score_stored(df.repartition(2), store, chunk_tokens=300).collect(), key=key)
+    for g, w in zip(sorted(got, key=key), again):
+        assert tuple(g)[:5] == tuple(w)[:5] and g.score == pytest.approx(w.score) and g.base_score == pytest.approx(w.base_score)
+    assert len(again) == len(got) and katz.katz_scores(df.limit(0), order=order).collect() == []
 
 
 def test_discounts_of_odd_counts():
