@@ -1,6 +1,9 @@
 """N-gram join, line dedup and components against brute force."""
 
+import os
 import random
+from collections import defaultdict
+from itertools import combinations
 
 import pytest
 
@@ -8,6 +11,7 @@ from talkmill.llm import edit_distance, line_dedup, ngram_join
 from talkmill.llm.common import Scratch, words_of
 from talkmill.llm.components import connected
 
+FOLDER = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string"
 
 
@@ -175,3 +179,62 @@ def test_blocks_find_all_within_reach():
         bits = rng.sample(range(64), line_dedup.BLOCKS - line_dedup.AGREE)
         whole = [all(not lo <= b < hi for b in bits) for lo, hi in zip(edges, edges[1:])]
         assert sum(whole) >= line_dedup.AGREE
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+def test_line_dedup_against_brute_force(spark):
+    """On real lines: nothing goes without a link, and nearly all links between lines that share two words in a row are found."""
+    docs = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
+    rng = random.Random(2)
+    some = [x for _, t in docs for x in t.split("\n") if len(x.split()) > 4]
+    extra = []
+    for x in rng.sample(some, 150):  # near copies by whole words
+        w = x.split()
+        for i in rng.sample(range(len(w)), max(1, len(w) // 9)):
+            w[i] = "".join(rng.choices("abcdefgh", k=len(w[i])))
+        extra.append(" ".join(w))
+    docs += [(10**6 + i, "\n".join(extra[i : i + 5])) for i in range(0, 150, 5)]
+    places = [(d, i, words) for d, t in docs for i, words in line_dedup.normal_lines(t)]
+    forms = sorted({" ".join(w) for _, _, w in places if len(w) >= line_dedup.LEAST_WORDS})
+    runs = defaultdict(set)
+    for k, x in enumerate(forms):
+        w = x.split(" ")
+        for run in zip(w, w[1:]):
+            runs[run].add(k)
+    links = [(a, b) for a, b in {p for m in runs.values() for p in combinations(sorted(m), 2)} if edit_distance.similar(forms[a], forms[b], 80)]
+    parent = list(range(len(forms)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    at = {x: k for k, x in enumerate(forms)}
+    group = [find(at[x]) if (x := " ".join(w)) in at else x for _, _, w in places]
+    first = {}
+    for k in sorted(range(len(places)), key=lambda k: places[k][:2]):
+        first.setdefault(group[k], places[k][:2])
+    want = {places[k][:2] for k in range(len(places)) if first[group[k]] != places[k][:2]}
+    gone = {}
+    for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)).collect():
+        gone[r.doc_id] = (r.text.split("\n"), r.n_removed)
+    lost = set()
+    for d, t in docs:  # which places of a document are left, in order
+        left, j = gone[d][0], 0
+        cut = t.split("\n")
+        drop = [i for i in range(len(cut)) if (d, i) in want]
+        if gone[d][1] == len(drop):
+            assert left == [x for i, x in enumerate(cut) if i not in set(drop)] or left == [""]
+            lost.update((d, i) for i in drop)
+        else:
+            assert gone[d][1] < len(drop)  # nothing goes that has no link
+            for i, x in enumerate(cut):
+                if j < len(left) and left[j] == x:
+                    j += 1
+                else:
+                    lost.add((d, i))
+    exact = {places[k][:2] for k in range(len(places)) if places[k][:2] in want and any(" ".join(places[k][2]) == " ".join(w) for _, _, w in places[:k])}
+    assert lost <= want and exact <= lost and len(links) >= 150
+    assert len(lost - exact) >= 0.97 * len(want - exact), (len(lost - exact), len(want - exact))
