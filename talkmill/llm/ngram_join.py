@@ -308,3 +308,17 @@ def near_pivots(beyond: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
 
 def op10_ngram_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE
+words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END AS s FROM words),
+classes AS (SELECT doc_id, s, len(s) AS n, min(doc_id) OVER (PARTITION BY list_sort(s)) AS rep FROM sets),
+shingles AS (SELECT rep, n, unnest(s) AS z FROM (SELECT DISTINCT rep, n, s FROM classes WHERE doc_id = rep AND n > 0)),
+links AS (SELECT a.rep AS x, b.rep AS y FROM shingles a JOIN shingles b ON a.z = b.z AND a.rep < b.rep GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(a, b) AS (SELECT DISTINCT rep, rep FROM classes UNION SELECT r.a, e.y FROM reach r JOIN edges e ON r.b = e.x),
+least AS (SELECT a, min(b) AS least FROM reach GROUP BY a)
+SELECT doc_id, n AS n_shingles, CASE WHEN n = 0 THEN doc_id WHEN doc_id IS NOT NULL THEN least END AS component_id FROM classes JOIN least ON a = rep
+"""

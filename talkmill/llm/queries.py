@@ -16,4 +16,4 @@ QUERIES = {
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op10_ngram_join": ngram_join.op10_ngram_join,
 }
-ORACLES = {"op6_url_filter": url_filter.OP6_SQL}
+ORACLES = {"op6_url_filter": url_filter.OP6_SQL, "op10_ngram_join": ngram_join.OP10_SQL}
