@@ -3,28 +3,61 @@
 from __future__ import annotations
 
 import argparse
+import os
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from talkmill.functions.text import run_name
+from talkmill.functions.tokenizers import load
 from talkmill.operators import dedup, examples, generate, mix, refine, render, transport
 from talkmill.session import session
 from talkmill.sources import config, files, jsonl
 from talkmill.sources.hub import Registry, require
 
 
+#: Lines of a log that a command prints; it says how many more there are.
+LOG = 200
+
+
 def generate_command(spark: SparkSession, cfg: config.Config, name: str | None, send: transport.Transport | None = None) -> str:
+    """Topics are asked about in waves, as many at once as there are workers, and each wave is written when it is done. A run that
+    ends early leaves what its waves have brought; the same name again goes on from there."""
     api, paths = cfg["generation"], cfg["paths"]
     api.configured()
-    out = f"{files.made(spark, paths.unprocessed_data_dir)}/{run_name(name, datetime.now())}"
+    base = run_name(name, datetime.now())
+    out = f"{files.made(spark, paths.unprocessed_data_dir)}/{base}"
+    waves = f"{paths.unprocessed_data_dir}/.waves/{base}"
     send = send or transport.HttpTransport(api.endpoint, transport.require_key(api))
-    rows = generate.generate(config.topic_rows(spark, cfg.topics), api, send).where("messages is not null")
-    jsonl.write_jsonl(rows.select("messages", "topic_idx", "seq").select("topic_idx", "seq", F.to_json(F.struct("messages")).alias("line")), out, ["topic_idx", "seq"], "line")
+    topics, step = config.topic_rows(spark, cfg.topics), api.workers()
+    parts = [f"{waves}/{i}" for i in range(0, len(cfg.topics), step)]
+    finished = lambda: [p for p in parts if files.exists(spark, f"{p}/_SUCCESS")]
+    try:
+        for i, path in zip(range(0, len(cfg.topics), step), parts):
+            if not files.exists(spark, f"{path}/_SUCCESS"):
+                wave = topics.where(F.col("topic_idx").between(i + 1, i + step))
+                generate.generate(wave, api, send).write.mode("overwrite").parquet(path)
+    finally:
+        if have := finished():
+            rows = spark.read.parquet(*have)
+            for r in rows.where("error is not null").select("topic", "error").limit(LOG).collect():
+                print(f"{r.topic}: {r.error}")
+            lines = rows.where("messages is not null").select("topic_idx", "seq", F.to_json(F.struct("messages")).alias("line"))
+            jsonl.write_jsonl(lines, out, ["topic_idx", "seq"], "line")
+    files.removed(spark, waves)
     return out
 
 
+def print_log(lines, order: list[str], column: str) -> None:
+    """The first lines of a log, and how many more there are."""
+    first = lines.orderBy(*order).limit(LOG + 1).collect()
+    for r in first[:LOG]:
+        print(r[column])
+    if len(first) > LOG:
+        print(f"... of {lines.count()} lines")
+
+
 def refine_command(spark: SparkSession, cfg: config.Config, name: str | None, judge=None) -> list[str]:
     """Refines one file, or all that have no result yet. A file's rows are judged once: verdicts are written before both
     outputs are made from them."""
@@ -47,8 +80,7 @@ def refine_command(spark: SparkSession, cfg: config.Config, name: str | None, ju
     done = []
     for path in todo:
         rows, malformed = jsonl.scan_jsonl(spark, [path])
-        for m in malformed.select("line_no").collect():
-            print(f"{path}: line {m[0]} is malformed")
+        print_log(malformed.select("line_no", F.concat(F.lit(f"{path}: line "), F.col("line_no").cast("string"), F.lit(" is malformed")).alias("line")), ["line_no"], "line")
         rows = examples.read_examples(jsonl.with_seq(rows)).select("file", "seq", "value", "messages")
         if rows.isEmpty():
             continue  # stays pending
@@ -57,8 +89,9 @@ def refine_command(spark: SparkSession, cfg: config.Config, name: str | None, ju
         refine.refine(rows, judge, api.batch_size).write.mode("overwrite").parquet(aside)
         judged = spark.read.parquet(aside)
         # removed rows first: a file counts as done once its refined rows are there
-        jsonl.write_jsonl(refine.removed(judged).select("batch_idx", "i", F.to_json(F.struct("example", "reason", "global_idx")).alias("line")), f"{files.made(spark, paths.removed_data_dir)}/{base}", ["batch_idx", "i"], "line")
+        jsonl.write_jsonl(refine.removed_lines(judged), f"{files.made(spark, paths.removed_data_dir)}/{base}", ["batch_idx", "i"], "line")
         jsonl.write_jsonl(refine.kept(judged), f"{files.made(spark, paths.refined_data_dir)}/{base}", ["batch_idx", "i"], "value")
+        print_log(refine.removed_report(judged), ["global_idx"], "line")
         for r in refine.retention(judged).collect():
             print(f"{r.file}: kept {r.kept} of {r.total} ({r.percent}%)")
         done.append(path)
@@ -101,9 +134,8 @@ def pretraining_rows(spark: SparkSession, cfg: config.Config, hub: Registry, ord
     cpt = cfg["cpt_training"]
     parts, weights = [], {}
     for k, d in enumerate(cpt.datasets):
-        rows = hub.pull(spark, d.path, d.split, d.config)
-        text = rows.select(F.col(d.column).alias("text"))
-        keyed = text.select(F.lit(f"{k}").alias("source_id"), F.xxhash64("text").alias("row_key"), "text")
+        rows = hub.pull(spark, d.path, d.split, d.config, key="_key")
+        keyed = rows.select(F.lit(f"{k}").alias("source_id"), F.xxhash64("_key").alias("row_key"), F.col(d.column).alias("text"))
         parts.append(keyed)
         weights[f"{k}"] = d.probability
     every = parts[0]
@@ -124,16 +156,19 @@ def finetuning_rows(spark: SparkSession, cfg: config.Config, hub: Registry, loca
     return mix.exact_split(out, "_key", sft.eval_split, seed).drop("_key")
 
 
-def check_tokenizer(spark: SparkSession, count) -> None:
+def check_tokenizer(spark: SparkSession, path: str) -> None:
+    """How the tokenizer in a local file or folder does on the test strings."""
+    load(path)  # a path that is none fails here, with its name
     rows = spark.createDataFrame(render.TEST_STRINGS, "label string, text string")
-    for r in render.report(rows, "label", "text", render.token_counter(count)(F.col("text"))).collect():
+    print(f"Tokenizer: {path}")
+    for r in render.report(rows, "label", "text", render.token_counter(lambda texts: [len(x) for x in load(path)(texts)])(F.col("text"))).collect():
         print(f"{r.label:<25} {r.chars:>6} {r.tokens:>7} {r.ratio:>7.2f} {r.assessment}")
 
 
 def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("command", choices=["generate", "refine", "merge", "push", "pull", "check-tokenizer", "prepare-cpt", "prepare-sft", "prepare"])
-    parser.add_argument("name", nargs="?", help="a file, for generate and refine")
+    parser.add_argument("name", nargs="?", help="a file, for generate and refine; a tokenizer's file or folder, for check-tokenizer")
     parser.add_argument("-c", "--config", default=None, help="a YAML file")
     parser.add_argument("-l", "--local", action="store_true", help="finetune on the merged file rather than the pulled set")
     parser.add_argument("--hub", default="data/hub", help="where named datasets lie")
@@ -151,7 +186,10 @@ def main(args: list[str] | None = None) -> int:
     elif given.command == "pull":
         print(pull_command(spark, cfg, hub))
     elif given.command == "check-tokenizer":
-        check_tokenizer(spark, lambda texts: [len(x.encode()) for x in texts])
+        name = given.name or cfg["model"].name
+        if not name:
+            raise ValueError("check-tokenizer needs a tokenizer, or a configured model")
+        check_tokenizer(spark, name if os.path.exists(name) else f"{given.hub}/{name}")
     if given.command in ("prepare-cpt", "prepare"):
         pretraining_rows(spark, cfg, hub).write.mode("overwrite").parquet(f"{given.out}/cpt")
     if given.command in ("prepare-sft", "prepare"):

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import time
 from collections.abc import Callable, Iterator
 from typing import Any
@@ -71,13 +70,3 @@ def within_quota(rows: DataFrame, quotas: DataFrame, group: str, order: str, cou
     """The first rows of each group, as many as its quota says."""
     ranked = rows.withColumn("_k", F.row_number().over(W.partitionBy(group).orderBy(order)))
     return ranked.join(quotas.select(group, F.col(count).alias("_quota")), group).where("_k <= _quota").drop("_k", "_quota")
-
-
-def asked(remaining, size: int):
-    """How many examples the next call asks for."""
-    return F.least(remaining, F.lit(size))
-
-
-def reply_list(raw: str) -> list:
-    got = json.loads(raw)
-    return got if isinstance(got, list) else []

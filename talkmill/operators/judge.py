@@ -44,10 +44,13 @@ def generic_comments(rows: DataFrame, least: int = 2) -> DataFrame:
     return pairs.groupBy("comment").agg(F.countDistinct("post").alias("posts")).where(F.col("posts") >= least)
 
 
+def pair_key(messages: Column) -> Column:
+    return F.md5(F.concat_ws("\n", folded(post(messages)), folded(comment(messages))))
+
+
 def boilerplate(rows: DataFrame, least: int = 2) -> DataFrame:
     """(pair, n): folded example texts that occur at least so often."""
-    pair = F.md5(F.concat_ws("\n", folded(post(F.col("messages"))), folded(comment(F.col("messages")))))
-    return rows.groupBy(pair.alias("pair")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return rows.groupBy(pair_key(F.col("messages")).alias("pair")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
 def unknown_rate(rows: DataFrame, words: DataFrame, id_: str, text: str) -> DataFrame:
@@ -74,22 +77,64 @@ def sentences(c: Column) -> Column:
     return F.size(F.filter(F.split(c, r"[.!?।\n]+"), lambda s: s.rlike(r"\S")))
 
 
-def offline_reasons(rows: DataFrame, keys: list[str], unrelated: float = 0.0, use_overlap: bool = False) -> DataFrame:
-    """rows: keys, i, messages. Adds reason: why the offline judge would remove the example, or null."""
-    out = repeats_in_batch(rows, keys)
-    m = F.col("messages")
-    reason = F.when(placeholder(m), "placeholder text").when(F.col("repeat"), "duplicate in batch").when(sounds_assistant(m), "sounds like an assistant")
-    if use_overlap:
-        reason = reason.when(overlap(m) <= unrelated, "unrelated comment")
-    return out.withColumn("reason", reason).drop("repeat")
-
-
-def offline_judge(placed: DataFrame, keys: list[str] | None = None):
-    """A judge for refine(): replies made from the reasons above. placed: file, batch_idx, i, messages."""
+def near_repeats_in_batch(rows: DataFrame, keys: list[str], percent: int = 90) -> DataFrame:
+    """(keys, near): places of examples whose words of post and comment are, to so many percent (Jaccard), those of an earlier
+    example of the batch. A batch is as large as one request, so its examples may be compared with each other."""
+    words = F.array_distinct(F.split(folded(F.concat_ws(" ", post(F.col("messages")), comment(F.col("messages")))), " "))
+    batch = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", words.alias("w")))).alias("_b"))
+
+    def like(x, y):
+        return (x["i"] < y["i"]) & (100 * F.size(F.array_intersect(x["w"], y["w"])) >= percent * F.size(F.array_union(x["w"], y["w"])))
+
+    near = F.filter("_b", lambda y: F.exists("_b", lambda x: like(x, y)))
+    return batch.select(*keys, F.transform(near, lambda y: y["i"]).alias("near"))
+
+
+def offline_reasons(
+    rows: DataFrame, keys: list[str], near: int | None = None, unrelated: float | None = None, generic: int | None = None, often: int | None = None, words: DataFrame | None = None, unknown: float = 0.5
+) -> DataFrame:
+    """rows: keys, i, messages. Adds reason: why the offline judge would remove the example, or null; the first rule that fits.
+
+    Placeholder text, repeats in a batch and an assistant's tone always count. Others where asked for: near (percent of words in
+    common with an earlier example of the batch), unrelated (overlap of post and comment at most so large), generic (the comment
+    answers at least so many different posts), often (the pair occurs at least so often), words (a table of known words, of
+    which a text's distinct words may lack the share `unknown`)."""
+    out, m = repeats_in_batch(rows, keys), F.col("messages")
+    rules = [(placeholder(m), "placeholder text"), (F.col("repeat"), "duplicate in batch")]
+    if near is not None:
+        out = out.join(near_repeats_in_batch(rows, keys, near), keys, "left")
+        rules.append((F.array_contains("near", F.col("i")), "nearly a duplicate in batch"))
+    rules.append((sounds_assistant(m), "sounds like an assistant"))
+    if unrelated is not None:
+        rules.append((overlap(m) <= unrelated, "unrelated comment"))
+    if generic is not None:
+        out = out.withColumn("_comment", folded(comment(m))).join(generic_comments(rows, generic).select(F.col("comment").alias("_comment"), "posts"), "_comment", "left")
+        rules.append((F.col("posts").isNotNull(), "generic comment"))
+    if often is not None:
+        out = out.withColumn("_pair", pair_key(m)).join(boilerplate(rows, often).select(F.col("pair").alias("_pair"), F.col("n").alias("_often")), "_pair", "left")
+        rules.append((F.col("_often").isNotNull(), "boilerplate"))
+    if words is not None:
+        text = rows.select(F.struct(*keys, "i").alias("_row"), F.concat_ws(" ", post(m), comment(m)).alias("_text"))
+        rates = unknown_rate(text, words, "_row", "_text")
+        out = out.withColumn("_row", F.struct(*keys, "i")).join(rates, "_row", "left")
+        rules.append((F.col("rate") > unknown, "unknown words"))
+    reason = F.when(*_rule(*rules[0]))
+    for rule in rules[1:]:
+        reason = reason.when(*_rule(*rule))
+    return out.withColumn("reason", reason).drop("repeat", "near", "_comment", "posts", "_pair", "_often", "_row", "rate")
+
+
+def _rule(fits: Column, reason: str) -> tuple[Column, Column]:
+    return F.coalesce(fits, F.lit(False)), F.lit(reason)
+
+
+def offline_judge(placed: DataFrame, keys: list[str] | None = None, **rules):
+    """A judge for refine(): replies made from the reasons above. placed: file, batch_idx, i, messages; rules: see
+    offline_reasons."""
     keys = keys or ["file", "batch_idx"]
 
     def judge(batches: DataFrame) -> DataFrame:
-        found = offline_reasons(placed, keys).where("reason is not null")
+        found = offline_reasons(placed, keys, **rules).where("reason is not null")
         place = F.struct("i", "reason")
         got = found.groupBy(*keys).agg(F.array_sort(F.collect_list(place)).alias("_r"))
         reply = F.to_json(F.struct(F.transform("_r", lambda r: r["i"]).alias("remove"), F.map_from_entries(F.transform("_r", lambda r: F.struct(r["i"].cast("string"), r["reason"]))).alias("reasons")))

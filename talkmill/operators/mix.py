@@ -39,17 +39,55 @@ def numbered(rows: DataFrame, order: list[Column], buckets: int, bucket: Column,
     return spread.withColumn("_own", own).join(before, "_b").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_b", "_own", "_before")
 
 
-BUCKETS = 256
+#: Hexadecimal digits of a digest that are counted at once, and rows that may be sorted in one task.
+DIGITS, SORTED = 4, 100_000
 
 
 def shuffled(rows: DataFrame, key: str, seed: int = 42, name: str = "pos") -> DataFrame:
     """Adds each row's place in a seeded shuffle, from 1; the same for any number of partitions. Buckets are the digest's
-    first byte, so they are even and in order."""
+    first digits, so they are even and in order."""
     d = digest(seed, F.col(key))
-    out = numbered(rows.withColumn("_d", d), [F.col("_d"), F.col(key)], BUCKETS, F.conv(F.substring("_d", 1, 2), 16, 10).cast("int"), name)
+    out = numbered(rows.withColumn("_d", d), [F.col("_d"), F.col(key)], 16**DIGITS, F.conv(F.substring("_d", 1, DIGITS), 16, 10).cast("int"), name)
     return out.drop("_d")
 
 
+def cut_of(rows: DataFrame, key: str, n: int | float, seed: int) -> tuple[str, int, int, int]:
+    """(the n-th digest of a seeded shuffle, how many of the rows with that digest are among the first n, how many there are, how
+    many rows there are at all); n below 1 is a share of the rows, rounded up. Found by counts of digests' leading digits, in a
+    few passes over the keys."""
+    keys = rows.select(digest(seed, F.col(key)).alias("_d"))
+    prefix, before, total = "", 0, None
+    while True:
+        own = keys.where(F.startswith("_d", F.lit(prefix))) if prefix else keys
+        counts = sorted(tuple(r) for r in own.groupBy(F.substring("_d", len(prefix) + 1, DIGITS).alias("p")).agg(F.count("*").alias("n")).collect())
+        if total is None:
+            total = sum(c for _, c in counts)
+            n = -int(-(n * total) // 1) if n < 1 else int(n)
+            if not 0 < n < total:
+                return ("" if n <= 0 else "g"), 0, 0, total  # before and after all digests
+        for p, c in counts:
+            if before + c >= n:
+                prefix, left = prefix + p, c
+                break
+            before += c
+        if left <= SORTED or len(prefix) == 32:
+            own = keys.where(F.startswith("_d", F.lit(prefix)))
+            first = own.orderBy("_d").limit(n - before)
+            last = first.agg(F.max("_d")).first()[0]
+            return last, first.where(F.col("_d") == last).count(), own.where(F.col("_d") == last).count(), total
+
+
+def first_shuffled(rows: DataFrame, key: str, n: int | float, seed: int = 42, name: str = "_first") -> tuple[DataFrame, int]:
+    """(the rows with a mark on exactly the first n of a seeded shuffle, how many rows there are). Rows stay where they are, but
+    for those that share the key at which the first end, where only some of them are among the first."""
+    last, some, ties, total = cut_of(rows, key, n, seed)
+    d = digest(seed, F.col(key))
+    if some == ties:
+        return rows.withColumn(name, F.coalesce(d <= F.lit(last), F.lit(False))), total
+    tied = rows.where(d == F.lit(last)).withColumn(name, F.row_number().over(W.orderBy(F.lit(1))) <= some)
+    return rows.where(d != F.lit(last)).withColumn(name, d < F.lit(last)).unionByName(tied), total
+
+
 def take(rows: DataFrame, n: int, on_short: str = "clip", pos: str = "pos") -> DataFrame:
     """Rows at places 1 ... n; fewer rows are an error if so asked."""
     if on_short == "error" and rows.count() < n:
@@ -57,8 +95,10 @@ def take(rows: DataFrame, n: int, on_short: str = "clip", pos: str = "pos") -> D
     return rows.where(F.col(pos) <= n)
 
 
-def running(rows: DataFrame, by: str, order: str, value: Column, name: str, buckets: int = 64) -> DataFrame:
-    """The running sum of a value in each group, by buckets of the order (its own quantiles), so that a hot group is spread."""
+def running(rows: DataFrame, by: str, order: str, value: Column, name: str, buckets: int | None = None) -> DataFrame:
+    """The running sum of a value in each group, by buckets of the order (its own quantiles), so that a hot group is spread; as
+    many as hold SORTED rows each, if not given. Best on keys alone: all columns go through windows."""
+    buckets = buckets or max(64, min(4096, rows.count() // SORTED))
     edges = rows.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10_000)).first()[0] or []
     where = F.array(*[F.lit(x) for x in sorted(set(edges))]) if edges else F.array().cast("array<long>")
     spread = rows.withColumn("_b", F.size(F.filter(where, lambda e: e < F.col(order)))).withColumn("_v", value)
@@ -88,16 +128,19 @@ def strided(rows: DataFrame, weights: dict[str, float], source: str = "source_id
 def mixed(rows: DataFrame, weights: dict[str, float], n: int, order: str = "reference", seed: int = 42, on_short: str = "clip") -> DataFrame:
     """n rows of (source_id, row_key, text). "reference": interleaved without replacement, then shuffled, so that the weights
     don't tell which rows stay. "weighted": the first n in order of arrival, so that they do."""
-    if order == "weighted":
-        return interleaved(rows, weights, seed=seed).orderBy("arrival", "source_id", "row_key").limit(n)
+    if order == "weighted":  # keys alone are ordered; texts are joined to those that stay
+        first = interleaved(rows.select("source_id", "row_key"), weights, seed=seed).orderBy("arrival", "source_id", "row_key").limit(n)
+        return rows.join(first.select("source_id", "row_key").distinct(), ["source_id", "row_key"], "left_semi")
     keyed = rows.withColumn("_key", F.concat_ws("|", "source_id", F.col("row_key").cast("string")))
-    return take(shuffled(keyed, "_key", seed), n, on_short).drop("_key")
+    marked, total = first_shuffled(keyed, "_key", n, seed)
+    if on_short == "error" and total < n:
+        raise ValueError(f"fewer than {n} rows")
+    return marked.where("_first").drop("_first", "_key")
 
 
 def exact_split(rows: DataFrame, key: str, fraction: float | None, seed: int = 42) -> DataFrame:
     """Adds split: eval for exactly ceil(fraction * rows) rows, else train; all train without a fraction."""
     if not fraction or fraction <= 0:
         return rows.withColumn("split", F.lit("train"))
-    n = rows.count()
-    size = -int(-(fraction * n) // 1)
-    return shuffled(rows, key, seed, "_p").withColumn("split", F.when(F.col("_p") <= size, "eval").otherwise("train")).drop("_p")
+    marked, _ = first_shuffled(rows, key, min(fraction, 1.0), seed) if fraction < 1 else (rows.withColumn("_first", F.lit(True)), 0)
+    return marked.withColumn("split", F.when(F.col("_first"), "eval").otherwise("train")).drop("_first")

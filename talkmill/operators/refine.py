@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from talkmill.functions.text import head, py_strip
 from talkmill.schemas import VERDICT
 
 from . import examples, transport
@@ -74,8 +75,24 @@ def kept(rows: DataFrame) -> DataFrame:
 
 
 def removed(rows: DataFrame) -> DataFrame:
-    """As they are written aside."""
-    return rows.where("removed").select("file", "batch_idx", "i", F.struct(F.col("messages")).alias("example"), "reason", "global_idx")
+    """As they are written aside; `value`, the example as it was read, comes along where it is there."""
+    more = ["value"] if "value" in rows.columns else []
+    return rows.where("removed").select("file", "batch_idx", "i", F.struct(F.col("messages")).alias("example"), "reason", "global_idx", *more)
+
+
+def removed_lines(rows: DataFrame) -> DataFrame:
+    """(file, batch_idx, i, line): removed rows as JSON, each example with all that it had when it was read."""
+    rest = F.to_json(F.struct("reason", "global_idx"))
+    line = F.concat(F.lit('{"example":'), py_strip(F.col("value")), F.lit(","), F.substring(rest, 2, 2**31 - 1))
+    return rows.where("removed").select("file", "batch_idx", "i", line.alias("line"))
+
+
+def removed_report(rows: DataFrame) -> DataFrame:
+    """(file, global_idx, line): what a log says of removed rows, with the heads of post and comment."""
+    m = F.col("messages")
+    text = lambda c: F.coalesce(head(c), F.lit(""))
+    line = F.concat(F.format_string("[%05d] removed: ", F.col("global_idx")), "reason", F.lit("\n  post: "), text(examples.post(m)), F.lit("\n  comment: "), text(examples.comment(m)))
+    return rows.where("removed").select("file", "global_idx", line.alias("line"))
 
 
 def retention(rows: DataFrame, by: str = "file") -> DataFrame:

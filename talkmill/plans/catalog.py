@@ -5,7 +5,6 @@ The tables have no blank, malformed or one-message rows; queries about those mak
 from __future__ import annotations
 
 import json
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from talkmill.functions import json as j
 from talkmill.functions import text as t
 from talkmill.operators import dedup, examples, generate, judge, mix, refine, render, transport
+from talkmill.sources import files
 from talkmill.sources.config import Generation, Refinement, Topic, topic_rows
 
 QUERIES: dict = {}
@@ -495,11 +495,10 @@ def refine_offline(spark, d):
 
 
 def shared(spark, name: str) -> str:
-    """A new folder for a query's files, shared with executors where the session names such a folder."""
+    """A new folder for a query's files, shared with the executors."""
     import uuid
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="talkmill-")
-    return f"{root}/talkmill/{name}-{uuid.uuid4().hex}"
+    return f"{files.shared_root(spark)}/talkmill/{name}-{uuid.uuid4().hex}"
 
 
 @query("SELECT conv_id, CAST(count(*) AS BIGINT) AS n FROM conversations WHERE conv_id % 10 <> 3 GROUP BY conv_id")
@@ -531,3 +530,131 @@ def streaming_refine_parity(spark, d):
     ids = chats(spark, d)
     both = kept.unionByName(gone).withColumn("k", F.sha2(F.to_json(key), 256)).dropDuplicates(["k"])
     return ids.withColumn("k", F.sha2(F.to_json(key), 256)).join(both.select("k"), "k", "left_semi").select("conv_id")
+
+
+def written_chats(spark, d, name: str) -> str:
+    """A folder of two JSON-lines files, of even and of odd conversations; a blank line follows each tenth."""
+    root = shared(spark, name)
+    rows = chats(spark, d).withColumn("line", F.concat(j.compact(F.struct("conv_id", "messages")), F.when(F.col("conv_id") % 10 == 0, F.lit("\n")).otherwise(F.lit(""))))
+    from talkmill.sources import jsonl
+
+    for k in (0, 1):
+        jsonl.write_jsonl(rows.where(F.col("conv_id") % 2 == k), f"{root}/part{k}.jsonl", ["conv_id"], "line")
+    return root
+
+
+def conv_id(value: str = "value"):
+    return F.get_json_object(value, "$.conv_id").cast("long")
+
+
+@query("WITH x AS (SELECT DISTINCT conv_id FROM conversations) SELECT conv_id, 'part' || (conv_id % 2) || '.jsonl' AS file, CAST(row_number() OVER (PARTITION BY conv_id % 2 ORDER BY conv_id) + count(*) FILTER (WHERE conv_id % 10 = 0) OVER (PARTITION BY conv_id % 2 ORDER BY conv_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS line_no FROM x")
+def folder_scan_lines(spark, d):
+    """All files of a folder: physical line numbers, blank lines counted but skipped."""
+    from talkmill.sources import jsonl
+
+    rows, _ = jsonl.scan_folder(spark, written_chats(spark, d, "folder"))
+    return rows.select(conv_id().alias("conv_id"), "file", "line_no")
+
+
+@query("SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id % 2 ORDER BY conv_id) - 1 AS BIGINT) AS seq FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id % 2 = 1")
+def named_scan_fail_fast(spark, d):
+    """One file by name, where a malformed line would raise, numbered by parsed rows; another file of the folder is one's own."""
+    from talkmill.sources import jsonl
+
+    root = written_chats(spark, d, "named")
+    rows, _ = jsonl.scan_folder(spark, root, f"{root}/part0.jsonl", "fail")
+    assert jsonl.scan_named(spark, f"{root}/none.jsonl") is None and jsonl.scan_folder(spark, f"{root}/none") is None
+    return jsonl.with_seq(rows).select(conv_id().alias("conv_id"), long(F.col("seq")).alias("seq"))
+
+
+@query(_JUDGED + "SELECT file, CAST(seq AS BIGINT) AS global_idx, doc_id, reason, source AS more FROM x JOIN documents USING (doc_id) WHERE removed")
+def removed_records(spark, d):
+    """Removed examples as they are written: whole, with keys that the schema of examples does not know."""
+    rows = placed(spark, d, "source", F.array(F.struct(F.lit("user").alias("role"), F.lit("x").alias("content"))).alias("messages"))
+    rows = rows.withColumn("value", j.compact(F.struct("doc_id", F.col("source").alias("more"), "messages")))
+    verdict = decided(spark, d)[1]
+    lines = refine.removed_lines(refine.split(rows, verdict, ["file", "batch_idx"]))
+    at = lambda path, kind: F.try_variant_get(F.parse_json("line"), path, kind)
+    return lines.select("file", at("$.global_idx", "bigint").alias("global_idx"), at("$.example.doc_id", "bigint").alias("doc_id"), at("$.reason", "string").alias("reason"), at("$.example.more", "string").alias("more"))
+
+
+@query("SELECT file, CAST(seq AS BIGINT) AS global_idx FROM (" + _SEQ.replace("doc_id, source,", "doc_id, source AS file,") + ") x JOIN labels l USING (doc_id) WHERE l.quality = 0")
+def removed_log(spark, d):
+    """A line of the log for each removed row."""
+    rows = placed(spark, d).withColumn("messages", F.array(F.struct(F.lit("user").alias("role"), F.lit("x").alias("content"))))
+    log = refine.removed_report(refine.split(rows, decided(spark, d)[1], ["file", "batch_idx"]))
+    return log.select("file", F.regexp_extract("line", r"^\[(\d+)\]", 1).cast("long").alias("global_idx"))
+
+
+@query("SELECT doc_id, text FROM documents ORDER BY doc_id LIMIT 77")
+def stored_slice(spark, d):
+    """train[:77] of a dataset in storage order: rows pushed in order of id, and pulled without a key."""
+    from talkmill.sources.hub import Registry
+
+    registry = Registry(shared(spark, "hub"))
+    registry.push(table(spark, d, "documents").select("doc_id", "text").orderBy("doc_id"), "docs")
+    return registry.pull(spark, "docs", "train[:77]")
+
+
+@query("SELECT lang AS topic, CAST(row_number() OVER (ORDER BY lang) AS INT) AS topic_idx, CAST(5 * row_number() OVER (ORDER BY lang) AS INT) AS count FROM (SELECT DISTINCT lang FROM documents)")
+def topic_index(spark, d):
+    langs = [r[0] for r in table(spark, d, "documents").select("lang").distinct().orderBy("lang").collect()]
+    return topic_rows(spark, [Topic(x, 5 * i) for i, x in enumerate(langs, 1)])
+
+
+@query(f"SELECT conv_id, CASE WHEN conv_id % 4 = 0 THEN true ELSE false END AS found FROM ({_PAIRS})")
+def assistant_rule(spark, d):
+    turns = table(spark, d, "conversations")
+    spoken = F.when((F.col("conv_id") % 4 == 0) & (F.col("turn") == 1), F.concat(F.lit("As an AI language model, "), F.col("text"))).otherwise(F.col("text"))
+    return examples.conversations_to_examples(turns.withColumn("text", spoken)).select("conv_id", judge.sounds_assistant(F.col("messages")).alias("found"))
+
+
+def answered(spark, d):
+    """Conversations whose comment is one of seven, and whose post is one of eleven or their own."""
+    turns = table(spark, d, "conversations").where("turn < 2")
+    text = F.when(F.col("turn") == 1, F.concat(F.lit("Answer, no. "), (F.col("conv_id") % 7).cast("string"))).when(F.col("conv_id") % 3 == 0, F.concat(F.lit("Post "), (F.col("conv_id") % 11).cast("string"))).otherwise(F.concat(F.lit("Own "), F.col("conv_id").cast("string")))
+    return examples.conversations_to_examples(turns.withColumn("text", text))
+
+
+_ANSWERED = "SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN 'post ' || (conv_id % 11) ELSE 'own ' || conv_id END AS post, 'answer no ' || (conv_id % 7) AS comment FROM (SELECT conv_id FROM conversations WHERE turn < 2 GROUP BY conv_id HAVING count(*) = 2)"
+
+
+@query(f"SELECT comment, CAST(count(DISTINCT post) AS BIGINT) AS posts FROM ({_ANSWERED}) GROUP BY comment HAVING count(DISTINCT post) >= 3")
+def generic_answers(spark, d):
+    return judge.generic_comments(answered(spark, d), 3)
+
+
+@query(f"SELECT md5(post || chr(10) || comment) AS pair, CAST(count(*) AS BIGINT) AS n FROM ({_ANSWERED}) GROUP BY 1 HAVING count(*) >= 2")
+def repeated_pairs(spark, d):
+    return judge.boilerplate(answered(spark, d), 2)
+
+
+@query("SELECT role, CAST(count(*) AS BIGINT) AS n FROM conversations GROUP BY role")
+def role_types(spark, d):
+    """Messages read with the typed schema of examples."""
+    from talkmill.schemas import EXAMPLE
+
+    line = j.compact(F.struct("messages"))
+    typed = chats(spark, d).select(F.from_json(line, EXAMPLE)["messages"].alias("messages"))
+    return typed.select(F.explode("messages").alias("m")).groupBy(F.col("m.role").alias("role")).agg(F.count("*").alias("n"))
+
+
+#: Settings that a check rejects, and some that it lets through, by the rule that they try.
+_SETTINGS = {
+    "temperature": ({"temperature": 2.5}, False), "temperature_edge": ({"temperature": 2}, True), "max_tokens": ({"max_tokens": 0}, False), "batch_size": ({"batch_size": -1}, False),
+    "batch_timeout": ({"batch_timeout": 0}, False), "max_retries": ({"max_retries": 0}, False), "max_workers": ({"max_workers": 0}, False), "max_workers_unset": ({"max_workers": None}, True),
+}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', {str(ok).lower()})" for k, (_, ok) in _SETTINGS.items()) + ") v(setting, accepted)")
+def configuration_checks(spark, d):
+    from talkmill.sources.config import ConfigError
+
+    def accepted(given: dict) -> bool:
+        try:
+            Generation(**given).check()
+        except ConfigError:
+            return False
+        return True
+
+    return spark.createDataFrame([(k, accepted(given)) for k, (given, _) in _SETTINGS.items()], "setting string, accepted boolean")

@@ -95,6 +95,24 @@ class Finetuning:
         _check(self.eval_split is None or 0 < self.eval_split < 1, "eval_split must lie between 0 and 1")
 
 
+def dotenv(path: str = ".env") -> dict[str, str]:
+    """NAME=value lines of a file; quotes around a value and what begins with # after it go. {} if there is no file."""
+    found: dict[str, str] = {}
+    if not os.path.exists(path):
+        return found
+    for line in Path(path).read_text(encoding="utf-8").splitlines():
+        name, equals, value = line.strip().removeprefix("export ").partition("=")
+        if not equals or name.startswith("#"):
+            continue
+        value = value.strip()
+        if value[:1] in ("'", '"') and (end := value.find(value[0], 1)) > 0:
+            value = value[1:end]
+        else:
+            value = value.split(" #", 1)[0].rstrip()
+        found[name.strip()] = value
+    return found
+
+
 @dataclass
 class Api:
     endpoint: str = "https://openrouter.ai/api/v1/chat/completions"
@@ -117,7 +135,8 @@ class Api:
         return self.max_workers or min(32, 4 * (os.cpu_count() or 1))
 
     def api_key(self) -> str | None:
-        return os.environ.get(self.api_key_env)
+        """From the environment, else from a .env file in the working folder."""
+        return os.environ.get(self.api_key_env) or dotenv().get(self.api_key_env)
 
     def configured(self) -> None:
         """A model and a prompt are set."""

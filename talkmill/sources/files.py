@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -12,6 +13,21 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or the context's checkpoint folder. Where neither is set, a
+    folder of this machine, which only a local master can use."""
+    where = spark.conf.get("spark.checkpoint.dir", None)
+    if where:
+        return where
+    have = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if have.isDefined():
+        return have.get()
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="talkmill-"))
+    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
@@ -43,6 +59,11 @@ def made(spark: SparkSession, folder: str) -> str:
     return folder
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def is_hidden(path: str) -> bool:
     """Spark's readers skip such names."""
     return path.rstrip("/").rsplit("/", 1)[-1].startswith(("_", "."))

@@ -19,8 +19,9 @@ LINES = "file string, path string, line_no bigint, value string"
 def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, path, line_no, value): every physical line of the files, numbered from 1 in each.
 
-    Lines are numbered in each split, and splits by the counts of those before them in the file: no task sees more than a
-    split. Files whose names Spark skips are read on the driver; they are expected to be few and small."""
+    Ids of a split's lines follow each other, so a line's number is its id less the split's first, after the lines of the splits
+    before it: only a count and an id of each split are gathered, and lines stay where they are read. Files whose names Spark
+    skips are read on the driver; they are expected to be few and small."""
     plain = [p for p in paths if not files.is_hidden(p)]
     out = spark.createDataFrame([], LINES)
     if plain:
@@ -28,12 +29,11 @@ def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         # a file that Spark wrote is a folder of parts: the folder's name counts, and parts follow each other by name
         name = F.coalesce(F.nullif(F.regexp_extract(where, r"([^/]+\.jsonl)/part-[^/]*$", 1), F.lit("")), F.col("_metadata.file_name"))
         raw = spark.read.text(plain).select(name.alias("file"), where.alias("path"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"), "value")
-        inner = F.row_number().over(W.partitionBy("file", "path", "_at").orderBy("_id"))
-        sizes = raw.groupBy("file", "path", "_at").agg(F.count("*").alias("_n"))
+        sizes = raw.groupBy("file", "path", "_at").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
         before = F.coalesce(F.sum("_n").over(W.partitionBy("file").orderBy("path", "_at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-        starts = sizes.select("file", "path", "_at", before.alias("_before"))
-        lines = raw.withColumn("_inner", inner).join(starts, ["file", "path", "_at"])
-        out = lines.select("file", "path", (F.col("_inner") + F.col("_before")).alias("line_no"), "value")
+        starts = sizes.select("file", "path", "_at", "_first", before.alias("_before"))
+        lines = raw.join(starts, ["file", "path", "_at"])
+        out = lines.select("file", "path", (F.col("_id") - F.col("_first") + 1 + F.col("_before")).alias("line_no"), "value")
     for p in paths:
         if files.is_hidden(p):
             text = re.split(r"\r\n|\r|\n", files.read_hidden(spark, p))
