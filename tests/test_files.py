@@ -1,12 +1,15 @@
 """JSON lines, hidden names, numbering, merging, the command line."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from talkmill import cli
+from talkmill.functions import json as js
 from talkmill.functions import text as t
+from talkmill.functions import tokenizers
 from talkmill.operators import dedup, examples
 from talkmill.sources import config, files, hub, jsonl
 
@@ -111,10 +114,72 @@ def test_split_specifications():
         hub.split_of("train[5:]")
 
 
+def test_slices_in_storage_order(spark, tmp_path):
+    shelf = hub.Registry(f"file://{tmp_path}")
+    rows = spark.range(100).select((100 - F.col("id")).alias("text"), F.col("id").alias("place"))
+    shelf.push(rows.repartitionByRange(7, "place").sortWithinPartitions("place"), "d")
+    for n in (0, 1, 20, 99, 100, 300):
+        assert sorted(r.place for r in shelf.pull(spark, "d", f"train[:{n}]").collect()) == list(range(min(n, 100)))
+    keyed = shelf.pull(spark, "d", "train[:50]", key="_key")
+    assert keyed.columns == ["text", "place", "_key"] and keyed.select("_key").distinct().count() == 50
+    assert [r.text for r in shelf.pull(spark, "d", "train[:2]", order="text").collect()] == [1, 2]
+    shelf.register("own", lambda s, split, config: rows)
+    assert shelf.pull(spark, "own").count() == 100 and shelf.pull(spark, "own", "train[:3]", order="place").count() == 3
+    with pytest.raises(ValueError):
+        shelf.pull(spark, "own", "train[:3]")
+
+
+VALUES = [
+    "{}", '{"a":1}', "[1, 2]", " 1 ", '"x"', "null", "true", "1.0", "-0", "1e999", '{"a":1} x', '{"a":1},{"b":2}', "1 2", "", " ", "{", "{'a':1}", '{"a":1,"a":2}', "NaN", "-Infinity", '"a\tb"', '"\\u00e9"', '"\\x"', "01", "+1", "1.", ".5",
+    '{"a":}', "[1,]", "[,]", "\ufeff{}", "// c", "/* c */ 1", "1" * 4301, "[" * 2000 + "]" * 2000, '{"a":{"b":[{"c":null}]}}', "]", "1]", "],[", None, "\u00a01", '"\ud83d\ude00"'.encode("utf-16", "surrogatepass").decode("utf-16"), "tru", "True",
+]
+
+
+def test_json_is_what_python_reads(spark):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(VALUES)], "i int, v string")
+    for r in rows.select("i", "v", js.is_json("v").alias("got"), F.coalesce(js.is_plain_json(F.col("v")), F.lit(False)).alias("plain")).collect():
+        want = js._parse(r.v)[0]
+        assert r.got == want and (want or not r.plain), (r.v or "")[:40]
+    assert rows.where(js.is_plain_json(F.col("v"))).count() > 8
+
+
+def test_lines_are_numbered_where_they_lie(spark, tmp_path):
+    for k in range(3):
+        put(tmp_path / f"{k}.jsonl", "\n".join(f'{{"k":{k},"i":{i},"pad":"{"x" * (i % 50)}"}}' for i in range(1, 3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows, _ = jsonl.scan_folder(spark, f"file://{tmp_path}")
+        bad = rows.where(F.get_json_object("value", "$.i").cast("long") != F.col("line_no")).count()
+        assert bad == 0 and rows.count() == 3 * 2999
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_local_tokenizers(spark, tmp_path, capsys):
+    import public_tokenizers
+
+    for name in ("byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"):
+        path = public_tokenizers.path(name)
+        assert len(tokenizers.load(path)(["Hello world"])[0]) >= 2
+        cli.check_tokenizer(spark, path)
+    said = capsys.readouterr().out
+    assert said.count("Pure English") == 3 and said.count("Tokenizer:") == 3
+    folder = tmp_path / "model"
+    folder.mkdir()
+    with pytest.raises(FileNotFoundError):
+        cli.check_tokenizer(spark, str(folder))
+    os.symlink(public_tokenizers.path("byte_bpe_50k.json"), folder / "tokenizer.json")
+    assert tokenizers.load(str(folder))(["Hello world"]) == tokenizers.load(public_tokenizers.path("byte_bpe_50k.json"))(["Hello world"])
+    with pytest.raises(ValueError):
+        put(tmp_path / "x.bin", "x")
+        tokenizers.load(str(tmp_path / "x.bin"))
+
+
 def test_commands(spark, tmp_path):
     raw = tmp_path / "unprocessed"
     pair = lambda a, b: json.dumps({"messages": [{"role": "user", "content": a}, {"role": "assistant", "content": b}]})
-    put(raw / "one.jsonl", "\n".join([pair("a", "b"), "{", pair("c", "d"), pair("a", "B!")]))
+    put(raw / "one.jsonl", "\n".join([pair("a", "b"), "{", pair("c", "d")[:-1] + ', "more": {"kept": [1]}}', pair("a", "B!")]))
     put(raw / "empty.jsonl", "")
     root = f"file://{tmp_path}"
     cfg = config.Config({"paths": {"unprocessed_data_dir": f"{root}/unprocessed", "refined_data_dir": f"{root}/refined", "removed_data_dir": f"{root}/removed", "local_dataset": f"{root}/refined/merged.jsonl", "hf_dataset": "chats"}, "sft_training": {"eval_split": "0.5"}})
@@ -123,7 +188,7 @@ def test_commands(spark, tmp_path):
     assert cli.refine_command(spark, cfg, None, judge) == []  # the empty file stays pending, and brings nothing
     assert cli.refine_command(spark, cfg, "none.jsonl", judge) == []
     gone = [json.loads(r.value) for r in spark.read.text(f"{root}/removed/one.jsonl").collect()]
-    assert gone == [{"example": json.loads(pair("c", "d")), "reason": "why", "global_idx": 1}]
+    assert gone == [{"example": {**json.loads(pair("c", "d")), "more": {"kept": [1]}}, "reason": "why", "global_idx": 1}]
     assert cli.merge_command(spark, cfg) and cli.merge_command(spark, cfg)
     assert [json.loads(r.value)["messages"][1]["content"] for r in spark.read.text(f"{root}/refined/merged.jsonl").collect()] == ["b", "B!"]
     shelf = hub.Registry(f"{root}/hub")

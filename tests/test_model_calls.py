@@ -1,7 +1,11 @@
 """Calls, verdicts, generation, with transports that answer by script."""
 
 import json
+import os
+import pathlib
+import random
 import sys
+import uuid
 
 import pytest
 from pyspark import cloudpickle
@@ -146,6 +150,116 @@ def test_offline_judge(spark):
     assert got == {0: None, 1: "duplicate in batch", 2: "placeholder text", 3: "sounds like an assistant"}
 
 
+def test_offline_rules_that_are_asked_for(spark):
+    words = "one two three four five six seven eight nine ten"
+    rows = [(words, words), (words + " eleven", words), ("p1", "same answer"), ("p2", "Same answer!"), ("zz yy xx", "unrelated"), ("twice", "said"), ("again", "x y"), ("zq vw", "uu kk")]
+    batches = [0] * 7 + [1, 1]
+    rows.insert(7, ("twice", "said"))
+    df = spark.createDataFrame([("f", b, i, [("user", p), ("assistant", c)]) for i, (b, (p, c)) in enumerate(zip(batches, rows))], "file string, batch_idx long, i int, messages array<struct<role: string, content: string>>")
+    keys = ["file", "batch_idx"]
+    why = lambda **rules: {r.i: r.reason for r in judge.offline_reasons(df, keys, **rules).collect() if r.reason}
+    assert why() == {}
+    assert why(near=90) == {1: "nearly a duplicate in batch"}
+    assert why(generic=2) == {i: "generic comment" for i in range(4)}
+    assert why(often=2) == {5: "boilerplate", 7: "boilerplate"}
+    known = spark.createDataFrame([(w,) for w in f"{words} eleven p1 p2 same answer unrelated twice said again x y zz yy".split()], "word string")
+    assert why(words=known, unknown=0.5) == {8: "unknown words"}
+    assert set(why(unrelated=0.0)) == {2, 3, 4, 5, 6, 7, 8}
+    replies = judge.offline_judge(df, generic=2)(df).collect()
+    assert [json.loads(r.raw)["remove"] for r in replies] == [[0, 1, 2, 3]]
+
+
+class Counting:
+    """A judge whose verdicts differ from call to call, and that counts what it is asked in a file a batch."""
+
+    def __init__(self, folder):
+        self.folder = folder
+
+    def __call__(self, batches):
+        folder = self.folder
+
+        def run(frames):
+            import pandas as pd
+
+            for frame in frames:
+                raw = []
+                for n in frame["n"]:
+                    (pathlib.Path(folder) / uuid.uuid4().hex).touch()
+                    raw.append(json.dumps({"remove": random.sample(range(int(n)), int(n) // 2)}))
+                yield pd.DataFrame({"file": frame["file"], "batch_idx": frame["batch_idx"], "raw": raw})
+
+        return batches.select("file", "batch_idx", "n").mapInPandas(run, "file string, batch_idx long, raw string")
+
+
+def test_streaming_judges_each_row_once(spark, tmp_path):
+    from talkmill.streaming import incremental
+
+    for k in range(3):
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "calls").mkdir(exist_ok=True)
+        (tmp_path / f"in/{k}.jsonl").write_text("\n".join(json.dumps({"messages": [{"role": "user", "content": f"{k} {i}"}, {"role": "assistant", "content": "x"}], "own": i}) for i in range(50)) + "\n{\n")
+    root = f"file://{tmp_path}"
+    run = lambda: incremental.refine_new_files(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", Counting(str(tmp_path / "calls")), size=10)
+    run()
+    kept = [r.value for r in spark.read.parquet(f"{root}/out/refined").collect()]
+    gone = [r.value for r in spark.read.parquet(f"{root}/out/removed").collect()]
+    assert len(kept) == len(gone) == 75 and len({*kept, *gone}) == 150 and all("own" in json.loads(x) for x in gone)
+    assert len(list((tmp_path / "calls").iterdir())) == 15
+    run()  # nothing new
+    assert len(list((tmp_path / "calls").iterdir())) == 15
+
+
+class Waves:
+    def __init__(self, folder, stop=None):
+        self.folder, self.stop = folder, stop
+
+    def send(self, request, timeout):
+        topic = request["messages"][0]["content"]
+        (pathlib.Path(self.folder) / f"{topic}-{uuid.uuid4().hex}").touch()
+        if topic == self.stop:
+            os.kill(os.getpid(), 9)  # a worker is lost, again and again
+        return ok((topic, "b"))
+
+
+def test_generation_keeps_what_its_waves_brought(spark, tmp_path):
+    from talkmill import cli
+    from talkmill.sources.config import Config
+
+    (tmp_path / "calls").mkdir()
+    cfg = Config({"paths": {"unprocessed_data_dir": f"file://{tmp_path}/raw"}, "generation": {"model": "m", "prompt": "{topic}", "max_workers": 2}, "topics": [{"topic": f"t{i}", "count": 1} for i in range(5)]})
+    with pytest.raises(Exception):  # noqa: B017  whatever Spark makes of a lost worker
+        cli.generate_command(spark, cfg, "run.jsonl", Waves(str(tmp_path / "calls"), "t2"))
+    read = lambda: [json.loads(r.value)["messages"][0]["content"] for r in spark.read.text(f"file://{tmp_path}/raw/run.jsonl").collect()]
+    assert read() == ["t0", "t1"]
+    cli.generate_command(spark, cfg, "run.jsonl", Waves(str(tmp_path / "calls")))
+    assert read() == [f"t{i}" for i in range(5)]
+    calls = [p.name.split("-")[0] for p in (tmp_path / "calls").iterdir()]
+    assert calls.count("t0") == calls.count("t1") == calls.count("t4") == 1
+    assert not (tmp_path / "raw/.waves/run.jsonl").exists()
+
+
+def test_key_from_a_file(tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.delenv("OPENROUTER_API_KEY", raising=False)
+    assert Generation().api_key() is None
+    (tmp_path / ".env").write_text("# x\nOTHER=1 # note\nexport OPENROUTER_API_KEY='a # b' # c\nBAD\n")
+    assert Generation().api_key() == "a # b"
+    monkeypatch.setenv("OPENROUTER_API_KEY", "own")
+    assert Generation().api_key() == "own"
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 499, 999, 1000, 2000, 0.1, 0.9999])
+def test_first_of_a_shuffle(spark, n):
+    rows = spark.range(1000).select((F.col("id") % 600).alias("k"), "id").unionByName(spark.range(0).withColumn("k", F.col("id")))
+    marked, total = mix.first_shuffled(rows, "k", n)
+    want = min(1000, n if isinstance(n, int) else -int(-(n * 1000) // 1))
+    got = marked.collect()
+    assert total == len(got) == 1000 and sum(r._first for r in got) == want
+    order = sorted(r.d for r in rows.select(mix.digest(42, F.col("k")).alias("d")).collect())
+    first = marked.where("_first").select(mix.digest(42, F.col("k")).alias("d")).collect()
+    assert sorted(r.d for r in first) == order[:want]
+
+
 @pytest.mark.parametrize(
     ("section", "data"),
     [
