@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import re
-import tempfile
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -15,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talkmill.sources import files
+
 #: What a word is, in Java, RE2 and Python alike: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
@@ -67,15 +68,9 @@ def small(batches: Iterable[pa.RecordBatch], rows: int = ARROW_ROWS, size: int =
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if have.isDefined():
-            return have.get()
-        where = "file://" + tempfile.mkdtemp(prefix="talkmill-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where
+    """The folder that driver and executors share: spark.checkpoint.dir; a folder of our own only where that is unset and the master
+    is local."""
+    return files.shared_root(spark)
 
 
 class Scratch:
@@ -100,8 +95,7 @@ class Scratch:
                 self.delete(path)
 
     def delete(self, path: str) -> None:
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        files.removed(self.spark, path)
 
 
     def release(self) -> None:
