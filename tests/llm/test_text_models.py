@@ -378,3 +378,25 @@ def test_edited_text_digest(spark):
         t, u = t or "", texts[(i + 1) % 4] or ""
         h = len(t) // 2
         assert got[i].n_chars == len(t) and got[i].edited_sha256 == hashlib.sha256((t[: len(t) - h] + u[:h]).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc", "nmt_nfkc_cf", "nfkc_cf", "identity"])
+def test_normaliser_is_the_librarys(rule):
+    """The walk over the library's own compiled character maps: the same text, and the same original character for each
+    normalised one."""
+    lib = sentencepiece.SentencePieceNormalizer(rule_name=rule)
+    spec = dict(sentencepiece_codec._fields(lib.serialized_normalizer_spec()))
+    m = object.__new__(sentencepiece_codec.Model)
+    m.map = sentencepiece_codec.CharsMap(spec.get(2, b""))
+    m.suffix, m.users = False, []
+    m.dummy, m.squeeze, m.escape = (bool(spec.get(k, 1)) for k in (3, 4, 5))
+    rng = random.Random(1)
+    parts = ["ｈｅ", "　", " ", "  ", "①", "é", "é", "ﷺ", "ﬁ", "Ⅷ", "ㄱ가", "각", "ΑΣ", "ß", "İ", "​", "\t", "\n", "a", "B", "😀", "­", "½", "\x01", "が", "ｶﾞ", "ü̈", "▁", " ", "﻿"]
+    texts = ["", " ", *parts, *("".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(600))]
+    for t in texts:
+        want, places = lib.normalize(t, with_offsets=True)
+        data, source = m.normalize(t)
+        assert data.decode() == want, t
+        raw = t.encode()
+        at = np.cumsum([0, *(len(c.encode()) for c in want)])
+        assert [len(raw[: source[i]].decode()) for i in at][:-1] == list(places)[: len(want)], t
