@@ -104,8 +104,10 @@ class Scratch:
         gc.collect()
         self.spark._jvm.System.gc()
 
-    def clear(self) -> None:
-        self.drop(*[df for _, df in self.paths.values()])
+    def clear(self, *but: DataFrame) -> None:
+        """Drop all tables but those that the result is read from."""
+        kept = set(map(id, but))
+        self.drop(*[df for k, (_, df) in list(self.paths.items()) if k not in kept])
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -273,7 +273,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     where = comp(members.select("cid", "other", "rep"))
     least = where.groupBy("comp").agg(F.min("rep").alias("least"))
     final = scratch.keep(where.join(least, "comp").select("cid", "other", "least"))
-    scratch.drop(met, placed, pairs, stars, starred, members)
+    scratch.clear(every_, final)
     out = every_.join(final, ["cid", "other"], "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("least", "id")).alias("component_id"))
 
