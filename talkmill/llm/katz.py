@@ -20,12 +20,13 @@ arrays rather than of a row for each token:
 2. For each order, each chunk sends its n-grams and their training counts to buckets of the n-gram's hash; each bucket adds up,
    stores its n-grams and counts, and answers each chunk with the global counts, in the order asked. The first chunk that
    has an n-gram is told to be its owner.
-3. With counts and owners a chunk finds, for all its histories, what its own n-grams add to the sums in a(h), and scores all
-   but what depends on other chunks' n-grams; the sums go to buckets of the history, which store the weights; those a chunk
-   needs come back, and each token's back-off is evaluated from its longest history down.
+3. With counts and owners a chunk finds, for its histories, what its own n-grams add to the sums in a(h), and scores all but what
+   depends on other chunks' n-grams; the sums go to buckets of the history, which store the weights; those a chunk needs come
+   back, and each token's back-off is evaluated from its longest history down. Only held-out texts and frequent n-grams need
+   weights, so buckets mark in step 2 the n-grams that occur there, and sums of others are only sent for a store that is kept.
 
 The store holds, partitioned by order and bucket, the tables of n-gram counts and of histories' weights; score_stored()
-evaluates other documents from it. Corpus statistics grow with the corpus but are spread over buckets; a worker holds one chunk
+evaluates other documents from one that is kept. Corpus statistics grow with the corpus but are spread over buckets; a worker holds one chunk
 or one bucket. Hot words, histories and n-grams are one entry a chunk.
 
 Words are told apart by hashes of 64 bits, longer n-grams by hashes so wide that one in 2 ** SPARE is taken for another at
@@ -53,7 +54,7 @@ from .common import Scratch, bucket_bits, crc_mod, documents, lower_ascii, mix64
 ORDER = 3
 TOP = 5
 CHUNK = 500_000
-SPARE = 24
+SPARE = 20
 REMEMBER = 500_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: The start and the end of a text; no word has white space.
@@ -111,13 +112,21 @@ def count_counts(c: np.ndarray) -> np.ndarray:
     return np.bincount(np.minimum(c[(c > 0) & (c <= TOP + 1)], TOP + 1), minlength=TOP + 2)
 
 
+class Words(dict):
+    """Hashes of words."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
 def chunk_table(rows: DataFrame, modulus: int, remainder: int, chunk_tokens: int) -> DataFrame:
     """(chunk, n, docs, held, lens, vocab, tokens): the number of tokens, documents' ids, whether held out, numbers of tokens, the
     sorted hashes of the chunk's words, and each token's place among them."""
 
     def run(batches):
         task, made = TaskContext.get().partitionId() << 24, 0
-        known: dict[str, int] = {}
+        known = Words()
         docs: list = []
         hashes: list = []
         size = 0
@@ -137,8 +146,6 @@ def chunk_table(rows: DataFrame, modulus: int, remainder: int, chunk_tokens: int
                 words = words_of(lower_ascii(text)) if text else []
                 if len(known) > REMEMBER:
                     known.clear()
-                for w in set(words).difference(known):
-                    known[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
                 hashes.append(np.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), END))
                 docs.append(i)
                 size += len(words) + 1
@@ -151,19 +158,23 @@ def chunk_table(rows: DataFrame, modulus: int, remainder: int, chunk_tokens: int
 
 
 class Level:
-    """A chunk's n-grams of one order: their sorted keys, each token's place among them (-1: none), training counts, each token's
-    history's place among the n-grams of the order below (order 1: none), and a token of each n-gram."""
-
-    def __init__(self, keys: np.ndarray, at: np.ndarray, counts: np.ndarray, history: np.ndarray | None, width: int):
-        self.keys, self.at, self.counts, self.history, self.width = keys, at, counts.astype(np.int64), history, width
+    """A chunk's n-grams of one order: their sorted keys, each token's place among them (-1: none), training counts, whether a
+    held-out text has them, each token's history's place among the n-grams of the order below (order 1: none), and a token of
+    each n-gram."""
+
+    def __init__(self, keys: np.ndarray, at: np.ndarray, train: np.ndarray, history: np.ndarray | None, width: int):
+        self.keys, self.at, self.history, self.width = keys, at, history, width
+        there = at >= 0
+        self.counts = np.bincount(at[there & train], minlength=len(keys)).astype(np.int64)
+        self.held = np.bincount(at[there & ~train], minlength=len(keys)) > 0
         self.some = np.zeros(len(keys), np.int64)
-        self.some[at[at >= 0]] = np.flatnonzero(at >= 0)
+        self.some[at[there]] = np.flatnonzero(there)
 
 
 class Chunk:
-    """levels[k]: order k + 1. The words' level also has the start of a text."""
+    """levels[k]: order k + 1. The words' level also has the start of a text. With `last`, longer orders have only the last."""
 
-    def __init__(self, held: bytes, lens: bytes, vocab: bytes, tokens: bytes, orders: int, width: int):
+    def __init__(self, held: bytes, lens: bytes, vocab: bytes, tokens: bytes, orders: int, width: int, last: bool = False):
         self.held, self.lens = unpack(held).astype(bool), unpack(lens)
         vocab, tokens = unpack_sorted(vocab), unpack(tokens)
         self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
@@ -172,9 +183,8 @@ class Chunk:
         train = ~self.held[self.doc]
         start = int(np.searchsorted(vocab, START))
         names, own = np.insert(vocab, start, START), tokens + (tokens >= start)
-        counts = np.bincount(own[train], minlength=len(names))
-        counts[start] = (~self.held).sum()
-        self.levels = [Level(names, own, counts, None, 64)]
+        self.levels = [Level(names, own, train, None, 64)]
+        self.levels[0].counts[start], self.levels[0].held[start] = (~self.held).sum(), self.held.any()
         raw = word = vocab[tokens]
         before = np.concatenate([[start], own[:-1]])
         before[first] = start
@@ -186,39 +196,51 @@ class Chunk:
             there = place >= k - 2
             with np.errstate(over="ignore"):
                 raw = mix64(hashes * _BASE + word)
+            if last and k < orders:
+                continue
             keys, inverse = np.unique(raw[there] >> np.uint64(64 - width), return_inverse=True)
             at = np.full(len(tokens), -1)
             at[there] = inverse
-            self.levels.append(Level(keys, at, np.bincount(inverse[train[there]], minlength=len(keys)), np.where(there, before, -1), width))
+            self.levels.append(Level(keys, at, train, np.where(there, before, -1), width))
 
 
 _CHUNK = ("held", "lens", "vocab", "tokens")
 
 
-def ask(chunks: DataFrame, order: int, bits: int, width: int) -> DataFrame:
-    """(bucket, chunk, keys, counts): each chunk's n-grams of one order."""
+def ask(chunks: DataFrame, order: int, bits: int, width: int, every: bool = False) -> DataFrame:
+    """(bucket, chunk, keys, counts, held): each chunk's n-grams of one order; held: whether their weights may be needed."""
 
     def run(batches):
         for batch in small(batches, 1):  # a chunk is a row of megabytes
             for chunk, *rest in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                level = Chunk(*rest, order, width).levels[-1]
+                level = Chunk(*rest, order, width, True).levels[-1]
                 cut = parts(level.keys, bits, level.width)
-                cols = [[b for b, _, _ in cut], [chunk] * len(cut), [pack_sorted(level.keys[i:j]) for _, i, j in cut], [pack(level.counts[i:j]) for _, i, j in cut]]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary()))], names=["bucket", "chunk", "keys", "counts"])
+                held = level.held | every
+                cols = [[b for b, _, _ in cut], [chunk] * len(cut), *([f(x[i:j]) for _, i, j in cut] for f, x in ((pack_sorted, level.keys), (pack, level.counts), (_bits, held)))]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "chunk", "keys", "counts", "held"])
+
+    return chunks.select("chunk", *_CHUNK).mapInArrow(run, "bucket int, chunk long, keys binary, counts binary, held binary")
+
 
-    return chunks.select("chunk", *_CHUNK).mapInArrow(run, "bucket int, chunk long, keys binary, counts binary")
+def _bits(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.packbits(x).tobytes())
 
 
-ANSWER = "chunk long, bucket int, counts binary, other binary"
+def _unbits(x: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8), count=n).astype(bool)
+
+
+ANSWER = "kind string, chunk long, counts binary, owned binary, needed binary, keys binary, bucket int"
 
 
 def _answers(rows: list[tuple]) -> pa.Table:
-    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 4, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=["chunk", "bucket", "counts", "other"])
+    kinds = (pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int32())
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows) if rows else [[]] * 7, kinds)], names=["kind", "chunk", "counts", "owned", "needed", "keys", "bucket"])
 
 
 def answer(asked: DataFrame, words: bool) -> DataFrame:
-    """For each bucket: an answer to each chunk (the global counts of its keys; which it owns), one row with chunk -1 (tokens,
-    types, counts of counts), and one with chunk -2 (counts and keys of the bucket)."""
+    """For each bucket an answer to each chunk (the global counts of its keys; which it owns; which may need weights), its totals
+    (tokens, types, counts of counts), and its keys and counts."""
 
     def add(key, table):
         table = table.sort_by("chunk")
@@ -226,14 +248,20 @@ def answer(asked: DataFrame, words: bool) -> DataFrame:
         own = np.concatenate([unpack(x) for x in table.column("counts").to_pylist()])
         names, first, where = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         total = np.bincount(where, own, len(names)).astype(np.int64)
-        owner = np.zeros(len(own), np.int64)
-        owner[first[total > 0]] = 1
+        owner = np.zeros(len(own), bool)
+        owner[first[total > 0]] = True
+        held = np.concatenate([_unbits(x, len(k)) for x, k in zip(table.column("held").to_pylist(), keys)])
+        needed = (np.bincount(where, held, len(names)) > 0) | (total > TOP)
         real = total[names != START] if words else total
         stats = np.concatenate([[real.sum(), (real > 0).sum()], count_counts(real)]).astype(np.int64)
         ends = np.cumsum([len(x) for x in keys])
         chunks, bucket = table.column("chunk").to_pylist(), key[0].as_py()
-        rows = [(c, bucket, pack(total[where[j - len(k) : j]]), pack(owner[j - len(k) : j])) for c, k, j in zip(chunks, keys, ends)]
-        return _answers([*rows, (-1, bucket, pack(stats), b""), (-2, bucket, pack(total[total > 0]), pack_sorted(names[total > 0]))])
+        rows = []
+        for c, k, j in zip(chunks, keys, ends):
+            at = where[j - len(k) : j]
+            rows.append(("answer", c, pack(total[at]), _bits(owner[j - len(k) : j]), _bits(needed[at]), None, bucket))
+        rows += [("totals", None, pack(stats), None, None, None, bucket), ("counts", None, pack(total[total > 0]), None, None, pack_sorted(names[total > 0]), bucket)]
+        return _answers(rows)
 
     return asked.groupBy("bucket").applyInArrow(add, ANSWER)
 
@@ -248,7 +276,8 @@ def looked_up(asked: DataFrame, table: DataFrame) -> DataFrame:
         for chunk, x in zip(asked.column("chunk").to_pylist(), map(unpack_sorted, asked.column("keys").to_pylist())):
             at = np.minimum(np.searchsorted(names, x), max(0, len(names) - 1))
             there = names[at] == x if len(names) else np.zeros(len(x), bool)
-            rows.append((chunk, key[0].as_py(), pack(np.where(there, total[at], 0)), pack(np.zeros(len(x), np.int64))))
+            none = _bits(np.zeros(len(x), bool))
+            rows.append(("answer", chunk, pack(np.where(there, total[at], 0)), none, none, None, key[0].as_py()))
         return _answers(rows)
 
     return asked.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(find, ANSWER)
@@ -257,7 +286,7 @@ def looked_up(asked: DataFrame, table: DataFrame) -> DataFrame:
 def totals(answers: DataFrame) -> np.ndarray:
     """(tokens, types, counts of counts 0 ... TOP + 1): one short row a bucket."""
     out = np.zeros(4 + TOP, np.int64)
-    for (x,) in answers.where("chunk = -1").select("counts").collect():
+    for (x,) in answers.where("kind = 'totals'").select("counts").collect():
         out += unpack(bytes(x))
     return out
 
@@ -311,7 +340,7 @@ def first_scores(joined: DataFrame, model: Katz, orders: int) -> DataFrame:
                 c = Chunk(*rest[:4], orders, model.width)
                 got = [sorted(x, key=lambda y: y["bucket"]) for x in rest[4:]]
                 counts = [np.concatenate([unpack(y["counts"]) for y in x] or [np.zeros(0, np.int64)]) for x in got]
-                owned = [np.concatenate([unpack(y["other"]) for y in x] or [np.zeros(0, np.int64)]).astype(bool) for x in got]
+                owned, needed = ([np.concatenate([np.zeros(0, bool), *(_unbits(y[f], len(unpack(y["counts"]))) for y in x)]) for x in got] for f in ("owned", "needed"))
                 words = counts[0][c.levels[0].at]
                 # the longest order that each token's n-gram was seen in, and its probability there
                 level, p = np.zeros(len(c.doc), np.int64), model.word(words)
@@ -344,8 +373,9 @@ def first_scores(joined: DataFrame, model: Katz, orders: int) -> DataFrame:
                     own, names = c.levels[k - 1], c.levels[k - 2]
                     size = len(names.keys)
                     # what this chunk's own n-grams add to the sums of their histories
-                    some = own.some[owned[k - 1]]
-                    h, n, low = own.history[some], counts[k - 1][owned[k - 1]], counts[k - 2][names.at[some]]
+                    mine = np.flatnonzero(owned[k - 1])
+                    mine = mine[needed[k - 2][own.history[own.some[mine]]]]
+                    h, n, low = own.history[own.some[mine]], counts[k - 1][mine], counts[k - 2][names.at[own.some[mine]]]
                     lists = np.zeros((size, 3 + 2 * TOP), np.int64)
                     lists[:, 0], lists[:, 1] = need[k], counts[k - 2]
                     lists[:, 2] = np.bincount(h, np.where(low > TOP, low, 0), size).astype(np.int64)
@@ -456,7 +486,7 @@ def _gather(df: DataFrame, name: str, *cols: str) -> DataFrame:
 
 def _with_answers(chunks: DataFrame, answers: list[DataFrame]) -> DataFrame:
     for k, x in enumerate(answers, 1):
-        chunks = chunks.join(_gather(x, f"_{k}", "counts", "other"), "chunk")
+        chunks = chunks.join(_gather(x.where("kind = 'answer'"), f"_{k}", "counts", "owned", "needed"), "chunk")
     return chunks.select("chunk", "docs", *_CHUNK, *[f"_{k}" for k in range(1, len(answers) + 1)])
 
 
@@ -467,7 +497,8 @@ def _finish(first: DataFrame, weights: DataFrame, model: Katz, orders: int) -> D
 
 def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, modulus: int = 7, remainder: int = 2, chunk_tokens: int = CHUNK, store: str | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; learns from the rows not held out.
-    store: a path for the model's tables; a folder of its own below the shared one by default, deleted in the end."""
+    store: a path for the model's tables, with weights of all histories; by default they are in a folder below the shared one, with
+    those that these documents need, and deleted in the end."""
     if order < 2:
         raise ValueError("order must be 2 at least")
     spark = docs.sparkSession
@@ -478,13 +509,16 @@ def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ord
     width = min(64, int(chunks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]).bit_length() + SPARE)
     answers = []
     for k in range(1, order + 1):
-        answers.append(scratch.keep(answer(ask(chunks, k, bits, width), k == 1)))
-        answers[-1].where("chunk = -2").select("bucket", F.col("other").alias("keys"), "counts").write.partitionBy("bucket").parquet(f"{own}/counts/order={k}")
+        path = f"{own}/counts/order={k}"
+        answer(ask(chunks, k, bits, width, bool(store)), k == 1).write.partitionBy("kind", "bucket").parquet(path)
+        answers.append(spark.read.schema(ANSWER).parquet(path))
         scratch.release()
     model = Katz([totals(x) for x in answers], width, bits)
     spark.createDataFrame([(k, x.tolist(), width, bits) for k, x in enumerate(model.orders, 1)], "level int, totals array<long>, width int, bits int").coalesce(1).write.parquet(f"{own}/model")
     first = scratch.keep(first_scores(_with_answers(chunks, answers), model, order))
-    scratch.drop(*answers, chunks)
+    for k in range(1, order + 1):
+        scratch.delete(f"{own}/counts/order={k}/kind=answer")
+    scratch.drop(chunks)
     scratch.release()
     weights = scratch.keep(history_weights(first.where("kind = 0").select("level", "bucket", "chunk", "keys", "data"), model))
     weights.where("chunk = -2").select("level", "bucket", "keys", "weights").write.partitionBy("level", "bucket").parquet(f"{own}/weights")
@@ -507,7 +541,7 @@ def score_stored(docs: DataFrame, store: str, doc_id: str = "doc_id", text: str
     scratch, model = Scratch(spark), load_model(spark, store)
     order = len(model.orders)
     chunks = scratch.keep(chunk_table(_rows(docs, doc_id, text), modulus, remainder, chunk_tokens))
-    tables = [spark.read.schema("keys binary, counts binary, bucket int").parquet(f"{store}/counts/order={k}") for k in range(1, order + 1)]
+    tables = [spark.read.schema(ANSWER).parquet(f"{store}/counts/order={k}").where("kind = 'counts'").select("keys", "counts", "bucket") for k in range(1, order + 1)]
     answers = [scratch.keep(looked_up(ask(chunks, k, model.bits, model.width), x)) for k, x in enumerate(tables, 1)]
     first = scratch.keep(first_scores(_with_answers(chunks, answers), model, order))
     weights = spark.read.schema("keys binary, weights array<binary>, level int, bucket int").parquet(f"{store}/weights")
