@@ -10,6 +10,10 @@ from talkmill.functions.text import has_text
 from talkmill.schemas import EXAMPLE
 
 
+#: Numbers of the order that are ranked together.
+SPAN = 100_000
+
+
 def conversations_to_examples(turns: DataFrame, key: str = "conv_id", order: str = "turn", role: str = "role", content: str = "text") -> DataFrame:
     """(key, messages): the turns of a conversation in order, as one example."""
     message = F.struct(F.col(order).alias("_o"), F.col(role).alias("role"), F.col(content).alias("content"))
@@ -55,8 +59,15 @@ def comment(messages: Column) -> Column:
 
 
 def numbered(rows: DataFrame, file: str, order: str, name: str = "seq") -> DataFrame:
-    """The number of each row in its file, from 0."""
-    return rows.withColumn(name, (F.row_number().over(W.partitionBy(file).orderBy(order)) - 1).cast("long"))
+    """The number of each row in its file by a number that orders them, from 0; counted in ranges of that number, so that no task sees
+    all rows of a large file."""
+    span = F.floor(F.col(order) / SPAN)
+    near = rows.withColumn("_span", span)
+    sizes = near.groupBy(file, "_span").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy(file).orderBy("_span").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    own = near.withColumn("_own", F.row_number().over(W.partitionBy(file, "_span").orderBy(order)))
+    out = own.join(sizes.select(F.col(file).alias("_file"), F.col("_span").alias("_s"), before.alias("_before")), F.col(file).eqNullSafe(F.col("_file")) & F.col("_span").eqNullSafe(F.col("_s")))
+    return out.withColumn(name, (F.col("_own") + F.col("_before") - 1).cast("long")).drop("_span", "_own", "_before", "_file", "_s")
 
 
 def batched(rows: DataFrame, size: int, seq: str = "seq") -> DataFrame:

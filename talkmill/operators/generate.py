@@ -16,6 +16,7 @@ from talkmill.sources.config import Api
 
 from . import transport
 
+PARTS = 64
 OUT = "topic_idx int, topic string, seq int, batch_no int, malformed int, messages array<struct<role: string, content: string>>, error string"
 
 
@@ -67,6 +68,8 @@ def generate(topics: DataFrame, cfg: Api, send: transport.Transport, max_rounds:
 
 
 def within_quota(rows: DataFrame, quotas: DataFrame, group: str, order: str, count: str = "count") -> DataFrame:
-    """The first rows of each group, as many as its quota says."""
-    ranked = rows.withColumn("_k", F.row_number().over(W.partitionBy(group).orderBy(order)))
-    return ranked.join(quotas.select(group, F.col(count).alias("_quota")), group).where("_k <= _quota").drop("_k", "_quota")
+    """The first rows of each group, as many as its quota says. A group is first cut to its quota in each of PARTS parts, so that no
+    task sees all rows of a hot one."""
+    own = rows.join(quotas.select(group, F.col(count).alias("_quota")), group).withColumn("_part", F.pmod(F.xxhash64(order), F.lit(PARTS)))
+    near = own.withColumn("_k", F.row_number().over(W.partitionBy(group, "_part").orderBy(order))).where("_k <= _quota")
+    return near.withColumn("_k", F.row_number().over(W.partitionBy(group).orderBy(order))).where("_k <= _quota").drop("_k", "_quota", "_part")
