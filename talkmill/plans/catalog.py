@@ -639,22 +639,67 @@ def role_types(spark, d):
     return typed.select(F.explode("messages").alias("m")).groupBy(F.col("m.role").alias("role")).agg(F.count("*").alias("n"))
 
 
-#: Settings that a check rejects, and some that it lets through, by the rule that they try.
-_SETTINGS = {
-    "temperature": ({"temperature": 2.5}, False), "temperature_edge": ({"temperature": 2}, True), "max_tokens": ({"max_tokens": 0}, False), "batch_size": ({"batch_size": -1}, False),
-    "batch_timeout": ({"batch_timeout": 0}, False), "max_retries": ({"max_retries": 0}, False), "max_workers": ({"max_workers": 0}, False), "max_workers_unset": ({"max_workers": None}, True),
-}
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', {str(ok).lower()})" for k, (_, ok) in _SETTINGS.items()) + ") v(setting, accepted)")
+_ONE = [{"path": "x", "probability": 1}]
+#: Settings that a check rejects, and some that it lets through: name, section, what is given, whether it passes.
+_SETTINGS = [
+    ("temperature", "generation", {"temperature": 2.5}, False), ("temperature at its most", "refinement", {"temperature": 2}, True), ("max_tokens", "generation", {"max_tokens": 0}, False),
+    ("batch_size", "refinement", {"batch_size": -1}, False), ("batch_timeout", "generation", {"batch_timeout": 0}, False), ("max_retries", "refinement", {"max_retries": 0}, False),
+    ("max_workers", "generation", {"max_workers": 0}, False), ("max_workers unset", "refinement", {"max_workers": None}, True), ("prompt without a place", "generation", {"prompt": "x"}, False),
+    ("max_seq_length", "model", {"max_seq_length": 0}, False), ("no sources", "cpt_training", {}, False), ("sum below", "cpt_training", {"datasets": [{"path": "x", "probability": 0.98}]}, False),
+    ("sum near", "cpt_training", {"datasets": [{"path": "x", "probability": 1.005}]}, True), ("alpha", "cpt_training", {"datasets": _ONE, "lora_alpha": 8}, False), ("epochs", "cpt_training", {"datasets": _ONE, "epochs": 0}, False),
+    ("negative share", "cpt_training", {"datasets": [*_ONE, {"path": "y", "probability": -0.001}]}, False), ("eval_split 0", "sft_training", {"eval_split": 0}, False), ("eval_split 1", "sft_training", {"eval_split": 1}, False),
+    ("eval_split unset", "sft_training", {"eval_split": None}, True), ("learning_rate", "sft_training", {"learning_rate": 0}, False),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{name}', {str(ok).lower()})" for name, _, _, ok in _SETTINGS) + ") v(setting, accepted)")
 def configuration_checks(spark, d):
-    from talkmill.sources.config import ConfigError
+    from talkmill.sources.config import Config, ConfigError
 
-    def accepted(given: dict) -> bool:
+    def accepted(section: str, given: dict) -> bool:
         try:
-            Generation(**given).check()
+            Config({section: given})[section]
         except ConfigError:
             return False
         return True
 
-    return spark.createDataFrame([(k, accepted(given)) for k, (given, _) in _SETTINGS.items()], "setting string, accepted boolean")
+    return spark.createDataFrame([(name, accepted(section, given)) for name, section, given, _ in _SETTINGS], "setting string, accepted boolean")
+
+
+@query("SELECT conv_id, CASE WHEN conv_id % 2 = 0 THEN 'a.jsonl' ELSE 'b.jsonl' END AS file FROM (SELECT DISTINCT conv_id FROM conversations)")
+def merged_file(spark, d):
+    """Two files, the second of which repeats the first with names in another order, merged, written and read again."""
+    from talkmill.sources import jsonl
+
+    root = shared(spark, "merge")
+    rows = chats(spark, d)
+    jsonl.write_jsonl(rows.where("conv_id % 2 = 0").select("conv_id", j.compact(F.struct("conv_id", "messages")).alias("line")), f"{root}/in/a.jsonl", ["conv_id"], "line")
+    jsonl.write_jsonl(rows.select("conv_id", j.compact(F.struct("messages", "conv_id")).alias("line")), f"{root}/in/b.jsonl", ["conv_id"], "line")
+    found, _ = jsonl.scan_folder(spark, f"{root}/in")
+    first = dedup.merged(found.select("file", "line_no", "value"))
+    jsonl.write_jsonl(first, f"{root}/merged.jsonl", ["file", "line_no"], "value")
+    kept, _ = jsonl.scan_named(spark, f"{root}/merged.jsonl")
+    return kept.select(conv_id().alias("conv_id")).join(first.select(conv_id().alias("conv_id"), "file"), "conv_id")
+
+
+@query("SELECT text AS content, CAST(count(*) AS BIGINT) AS n FROM conversations GROUP BY text")
+def pushed_and_pulled(spark, d):
+    """Examples read from JSON with their schema, pushed as a named dataset and pulled again."""
+    from talkmill.schemas import EXAMPLE
+    from talkmill.sources import jsonl
+    from talkmill.sources.hub import Registry
+
+    root = shared(spark, "push")
+    jsonl.write_jsonl(chats(spark, d).select("messages"), f"{root}/merged.jsonl")
+    registry = Registry(f"{root}/hub")
+    registry.push(spark.read.schema(EXAMPLE).json(f"{root}/merged.jsonl"), "chats")
+    got = registry.pull(spark, "chats")
+    return got.select(F.explode("messages").alias("m")).groupBy(F.col("m.content").alias("content")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM (VALUES ('run', 'run.jsonl'), ('run.jsonl', 'run.jsonl'), ('', 'set_20240229_130405.jsonl')) v(given, name)")
+def run_names(spark, d):
+    from datetime import datetime
+
+    clock = datetime(2024, 2, 29, 13, 4, 5)
+    return spark.createDataFrame([(x, t.run_name(x or None, clock, "set")) for x in ("run", "run.jsonl", "")], "given string, name string")
