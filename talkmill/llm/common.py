@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import re
 import uuid
@@ -73,6 +74,23 @@ def shared_dir(spark: SparkSession) -> str:
     return files.shared_root(spark)
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextlib.contextmanager
+def lean(spark: SparkSession) -> Iterator[None]:
+    """While an action of ours runs, Spark's buffers for Python hold 8 MB, unless the session has its own size. Results don't depend on
+    it."""
+    if spark.conf.get(_BATCH, None) is not None:
+        yield
+        return
+    spark.conf.set(_BATCH, "8m")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_BATCH)
+
+
 class Scratch:
     """Tables written to the shared folder: they cut lineage and survive lost executors."""
 
@@ -82,7 +100,8 @@ class Scratch:
     def keep(self, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         path = f"{shared_dir(self.spark)}/talkmill/{uuid.uuid4().hex}"
         writer = df.write.option("compression", "zstd")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        with lean(self.spark):
+            (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         got = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(got)] = (path, got)
         return got

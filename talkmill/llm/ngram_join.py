@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, documents, file_bytes, lower_ascii, mix64, partitions, small, words_of
+from .common import Scratch, documents, file_bytes, lean, lower_ascii, mix64, partitions, small, words_of
 from .components import connected
 
 LEAST_BITS, SKETCH_BITS, SKETCH_BLOCKS = 18, 24, 256
@@ -86,12 +86,18 @@ def set_id(hashes: np.ndarray) -> tuple[int, int]:
 class Sketch:
     """For each counter, how many (document, shingle) fall on it, in units of `scale`."""
 
-    def __init__(self, counts: np.ndarray):
-        self.bits = len(counts).bit_length() - 1
-        self.scale = int(counts.max()) // 65536 + 1
-        self.counts = (counts // np.uint32(self.scale)).astype(np.uint16)
+    def __init__(self, bits: int, blocks: dict[int, bytes]):
+        """blocks: counts by block, compressed; what is missing is 0."""
+        counts = lambda x: np.frombuffer(zlib.decompress(x), np.uint32)
+        self.bits, size = bits, (1 << bits) // SKETCH_BLOCKS
+        self.scale = max((int(counts(x).max()) for x in blocks.values()), default=0) // 65536 + 1
+        self.counts = np.zeros(1 << bits, np.uint16)
+        total = 0
+        for i, x in blocks.items():
+            total += int(counts(x).sum(dtype=np.uint64))
+            self.counts[i * size : (i + 1) * size] = counts(x) // np.uint32(self.scale)
         #: What an estimate has from other shingles.
-        self.floor = float(counts.mean())
+        self.floor = total / (1 << bits)
 
     def of(self, h: np.ndarray) -> np.ndarray:
         return self.counts[(h >> np.uint64(64 - self.bits)).astype(np.int64)].astype(float) * self.scale
@@ -118,11 +124,9 @@ def sketch(rows: DataFrame, width: int, bits: int) -> Sketch:
                 total[i] = total.get(i, 0) + np.frombuffer(zlib.decompress(x), np.uint32).astype(np.uint64)
         yield blocks({i: np.minimum(x, (1 << 32) - 1).astype(np.uint32) for i, x in total.items()})
 
-    out = np.zeros(size, np.uint32)
     found = rows.select("text").mapInArrow(count, "block int, counts binary").repartition(partitions(rows.sparkSession), "block")
-    for i, x in found.mapInArrow(add, "block int, counts binary").collect():
-        out[i * block : (i + 1) * block] = np.frombuffer(zlib.decompress(bytes(x)), np.uint32)
-    return Sketch(out)
+    with lean(rows.sparkSession):
+        return Sketch(bits, {i: bytes(x) for i, x in found.mapInArrow(add, "block int, counts binary").collect()})
 
 
 def prefix_of(h: np.ndarray, df: np.ndarray, floor: float, percent: int, most_match: int = MOST_MATCH) -> tuple[np.ndarray, int, int]:
@@ -228,6 +232,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     members = scratch.keep(own.select("cid", "_first.other", F.col("_first.id").alias("rep"), "_own.*"))
     every_ = scratch.keep(every.select("id", "cid", "other", "n"))
     scratch.drop(every)
+    scratch.release()
     known = members.select("cid", "rep")
     entries = members.select("cid", "n", "rare", "match", F.posexplode("prefix").alias("at", "sh"))
     lists = entries.groupBy("sh").agg(F.count("*").alias("size"), F.min(F.struct("rare", "cid", "n")).alias("pivot")).where("size > 1")
@@ -241,6 +246,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     starred = compared(stars, known, rows, width, scratch, True)
     links = scratch.keep(starred.where(F.col("o") >= needed("a_n", "b_n", percent)).select("a", "b"))
     comps = connected(links, scratch)
+    scratch.release()
     comp = lambda df: df.join(comps.select(F.col("id").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
 
     # 2. what lists have in common, by prefixes: all pairs of small lists; in large ones those not both near the pivot
@@ -248,6 +254,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     placed = met.select("sh", "cid", "n", "match", "at", F.when(F.col("size") > STAR, F.col("pivot.cid")).alias("p"))
     placed = placed.join(near, ["p", "cid"], "left").withColumn("near", F.coalesce("near", F.coalesce(F.col("p") == F.col("cid"), F.lit(False))))
     placed = scratch.keep(comp(placed.drop("p")))
+    scratch.drop(met)
+    scratch.release()
     # a large list whose classes are all near its pivot has nothing to do here
     open_ = placed.groupBy("sh").agg(F.bool_and("near").alias("_all")).where("not _all").select("sh")
     pairs = across(placed.join(open_, "sh", "left_semi"), ["sh"], ["n", "match", "at", "near"]).where("not (x_near and y_near)").where(fits("x_n", "y_n"))
@@ -257,6 +265,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     pairs = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("match").alias("match")).where("shared >= match").select("a", "b")
 
     pairs = scratch.keep(pairs.join(smaller(stars, "a", "b"), ["a", "b"], "left_anti"))
+    scratch.drop(placed, stars)
+    scratch.release()
     sizes = members.select("cid", "n")
     sized = pairs.join(sizes.select(F.col("cid").alias("a"), F.col("n").alias("a_n")), "a").join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("b_n")), "b")
     more = compared(sized, known, rows, width, scratch)
@@ -266,6 +276,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # 3. classes near the same pivot: what only one of a class and the pivot has tells all about two of them
     beyond = starred.where("delta is not null").select(F.col("a").alias("p"), F.col("b").alias("cid"), F.col("b_n").alias("n"), "delta")
     beside = near_pivots(scratch.keep(comp(beyond)), percent, scratch)
+    scratch.drop(starred)
     if not beside.isEmpty():
         comps = connected(links.union(beside), scratch)
 
@@ -274,6 +285,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     least = where.groupBy("comp").agg(F.min("rep").alias("least"))
     final = scratch.keep(where.join(least, "comp").select("cid", "other", "least"))
     scratch.clear(every_, final)
+    scratch.release()
     out = every_.join(final, ["cid", "other"], "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("least", "id")).alias("component_id"))
 
