@@ -13,7 +13,7 @@ from talkmill.functions import json as j
 from talkmill.functions import text as t
 from talkmill.operators import dedup, examples, generate, judge, mix, refine, render, transport
 from talkmill.sources import files
-from talkmill.sources.config import Generation, Refinement, Topic, topic_rows
+from talkmill.sources.config import ConfigError, Generation, Refinement, Topic, check_probabilities, topic_rows
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -381,8 +381,6 @@ _U = "(('0x' || substr(md5('42|' || lang || '|' || doc_id), 1, 13))::UBIGINT::DO
     f"SELECT source_id, row_key, CAST(row_number() OVER (ORDER BY round(arrival, 6), source_id, row_key) AS BIGINT) AS pos FROM (SELECT lang AS source_id, doc_id AS row_key, sum(-ln(1e0 - {_U}) / CASE lang WHEN 'en' THEN 0.4::DOUBLE WHEN 'fr' THEN 0.25::DOUBLE WHEN 'de' THEN 0.25::DOUBLE ELSE 0.1::DOUBLE END) OVER (PARTITION BY lang ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS arrival FROM documents)"
 )
 def interleave_weighted(spark, d):
-    from pyspark.sql import Window as W
-
     rows = mix.interleaved(by_lang(spark, d).drop("text"), WEIGHTS).withColumn("a", F.round("arrival", 6))
     edges = rows.agg(F.percentile_approx("a", [i / 32 for i in range(1, 32)], 10_000)).first()[0] or []
     bucket = F.size(F.filter(F.array(*[F.lit(x) for x in edges]) if edges else F.array().cast("array<double>"), lambda e: e < F.col("a")))
@@ -418,10 +416,12 @@ def topic_quota(spark, d):
 @query("SELECT lang, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM documents) AS p, true AS sums_to_one FROM documents GROUP BY lang")
 def probability_check(spark, d):
     docs = table(spark, d, "documents")
-    shares = docs.groupBy("lang").agg(F.count("*").alias("n")).withColumn("p", F.col("n") / F.lit(docs.count()))
-    from pyspark.sql import Window as W
-
-    return shares.select("lang", "p", (F.abs(F.sum("p").over(W.partitionBy()) - 1) <= 0.01).alias("sums_to_one"))
+    shares = docs.groupBy("lang").agg(F.count("*").alias("n")).withColumn("p", F.col("n") / F.lit(docs.count())).select("lang", "p")
+    try:
+        check_probabilities([r.p for r in shares.collect()])  # a row a language
+    except ConfigError:
+        return shares.withColumn("sums_to_one", F.lit(False))
+    return shares.withColumn("sums_to_one", F.lit(True))
 
 
 # -- reports ---------------------------------------------------------------------------------------------------------
@@ -654,7 +654,7 @@ _SETTINGS = [
 
 @query("SELECT * FROM (VALUES " + ", ".join(f"('{name}', {str(ok).lower()})" for name, _, _, ok in _SETTINGS) + ") v(setting, accepted)")
 def configuration_checks(spark, d):
-    from talkmill.sources.config import Config, ConfigError
+    from talkmill.sources.config import Config
 
     def accepted(section: str, given: dict) -> bool:
         try:
