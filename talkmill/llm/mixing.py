@@ -18,8 +18,8 @@ Everything is seeded; a rerun gives the same rows. The order of words in a strea
 nothing depends on how files are split.
 
 Cases: null text has size 0 and takes nothing; a null source is a source of its own, last in order; rows that repeat are
-documents of their own; an empty table gives an empty result; only the named columns are read, so that further columns
-with clashing names do no harm.
+documents of their own; an empty table gives an empty result; very long texts are counted whole, and lie in as many blocks as
+they have words for; only the named columns are read, so that further columns with clashing names do no harm.
 """
 
 from __future__ import annotations
