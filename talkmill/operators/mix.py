@@ -39,7 +39,7 @@ def numbered(rows: DataFrame, order: list[Column], buckets: int, bucket: Column,
     return spread.withColumn("_own", own).join(before, "_b").withColumn(name, (F.col("_own") + F.col("_before")).cast("long")).drop("_b", "_own", "_before")
 
 
-#: Hexadecimal digits of a digest that are counted at once, and rows that may be sorted in one task.
+#: Hexadecimal digits of a digest that are counted at once, and digests that may be gathered.
 DIGITS, SORTED = 4, 100_000
 
 
@@ -70,11 +70,12 @@ def cut_of(rows: DataFrame, key: str, n: int | float, seed: int) -> tuple[str, i
                 prefix, left = prefix + p, c
                 break
             before += c
-        if left <= SORTED or len(prefix) == 32:
-            own = keys.where(F.startswith("_d", F.lit(prefix)))
-            first = own.orderBy("_d").limit(n - before)
-            last = first.agg(F.max("_d")).first()[0]
-            return last, first.where(F.col("_d") == last).count(), own.where(F.col("_d") == last).count(), total
+        if left <= SORTED or len(prefix) == 32:  # a whole digest, or few of them
+            own = keys.where(F.startswith("_d", F.lit(prefix))).groupBy("_d").agg(F.count("*").alias("n"))
+            for last, c in sorted(tuple(r) for r in own.collect()):
+                if before + c >= n:
+                    return last, n - before, c, total
+                before += c
 
 
 def first_shuffled(rows: DataFrame, key: str, n: int | float, seed: int = 42, name: str = "_first") -> tuple[DataFrame, int]:
