@@ -16,7 +16,8 @@ however the work is split.
 The work goes by chunks of documents and buckets of n-grams, in rounds of requests and answers, each a shuffle of packed
 arrays rather than of a row for each token:
 
-1. Chunks (tokens as numbers of the chunk's own words) are written to the shared folder.
+1. Chunks (tokens as numbers of the chunk's own words) are written to the shared folder, as a table bucketed by chunk, so that later
+   only answers are shuffled to them.
 2. For each order, each chunk sends its n-grams and their training counts to buckets of the n-gram's hash; each bucket adds up,
    stores its n-grams and counts, and answers each chunk with the global counts, in the order asked. The first chunk that
    has an n-gram is told to be its owner.
@@ -39,7 +40,9 @@ reaches CHUNK tokens; with no training documents every count is 0 and all tokens
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +52,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, bucket_bits, crc_mod, documents, lower_ascii, mix64, shared_dir, small, words_of
+from .common import Scratch, bucket_bits, crc_mod, documents, lean, lower_ascii, mix64, partitions, shared_dir, small, words_of
 
 ORDER = 3
 TOP = 5
@@ -495,22 +498,30 @@ def _finish(first: DataFrame, weights: DataFrame, model: Katz, orders: int) -> D
     return last_scores(waiting.join(_gather(weights, "got", "level", "weights"), "chunk", "left").select("docs", "data", "got"), model, orders)
 
 
-def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, modulus: int = 7, remainder: int = 2, chunk_tokens: int = CHUNK, store: str | None = None) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; learns from the rows not held out.
-    store: a path for the model's tables, with weights of all histories; by default they are in a folder below the shared one, with
-    those that these documents need, and deleted in the end."""
-    if order < 2:
-        raise ValueError("order must be 2 at least")
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
-    own = store or f"{shared_dir(spark)}/talkmill/{uuid.uuid4().hex}"
-    bits = bucket_bits(spark)
-    chunks = scratch.keep(chunk_table(_rows(docs, doc_id, text), modulus, remainder, chunk_tokens))
+@contextlib.contextmanager
+def _bucketed(df: DataFrame, scratch: Scratch) -> Iterator[DataFrame]:
+    """A table of the frame, bucketed by chunk, while it is used."""
+    spark, name = df.sparkSession, f"talkmill_{uuid.uuid4().hex}"
+    path, n = f"{shared_dir(spark)}/talkmill/{name}", partitions(spark)
+    try:
+        with lean(spark):
+            df.repartition(n, "chunk").write.bucketBy(n, "chunk").option("path", path).option("compression", "zstd").saveAsTable(name)
+        scratch.release()
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        scratch.delete(path)
+
+
+def _first_pass(chunks: DataFrame, order: int, bits: int, own: str, every: bool, scratch: Scratch) -> tuple[DataFrame, Katz]:
+    """(first_scores(), the model); writes the counts. every: whether weights of all histories are wanted."""
+    spark = chunks.sparkSession
     width = min(64, int(chunks.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]).bit_length() + SPARE)
     answers = []
     for k in range(1, order + 1):
         path = f"{own}/counts/order={k}"
-        answer(ask(chunks, k, bits, width, bool(store)), k == 1).write.partitionBy("kind", "bucket").parquet(path)
+        with lean(spark):
+            answer(ask(chunks, k, bits, width, every), k == 1).write.partitionBy("kind", "bucket").option("compression", "zstd").parquet(path)
         answers.append(spark.read.schema(ANSWER).parquet(path))
         scratch.release()
     model = Katz([totals(x) for x in answers], width, bits)
@@ -518,7 +529,21 @@ def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ord
     first = scratch.keep(first_scores(_with_answers(chunks, answers), model, order))
     for k in range(1, order + 1):
         scratch.delete(f"{own}/counts/order={k}/kind=answer")
-    scratch.drop(chunks)
+    return first, model
+
+
+def katz_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, modulus: int = 7, remainder: int = 2, chunk_tokens: int = CHUNK, store: str | None = None) -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row; learns from the rows not held out.
+    store: a path for the model's tables, with weights of all histories; by default they are in a folder below the shared one, with
+    those that these documents need, and deleted in the end."""
+    if order < 2:
+        raise ValueError("order must be 2 at least")
+    spark = docs.sparkSession
+    scratch = Scratch(spark)
+    own = store or f"{shared_dir(spark)}/talkmill/{uuid.uuid4().hex}"
+    bits = bucket_bits(spark)
+    with _bucketed(chunk_table(_rows(docs, doc_id, text), modulus, remainder, chunk_tokens), scratch) as chunks:
+        first, model = _first_pass(chunks, order, bits, own, bool(store), scratch)
     scratch.release()
     weights = scratch.keep(history_weights(first.where("kind = 0").select("level", "bucket", "chunk", "keys", "data"), model))
     weights.where("chunk = -2").select("level", "bucket", "keys", "weights").write.partitionBy("level", "bucket").parquet(f"{own}/weights")
