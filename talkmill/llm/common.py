@@ -79,12 +79,12 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 @contextlib.contextmanager
 def lean(spark: SparkSession) -> Iterator[None]:
-    """While an action of ours runs, Spark's buffers for Python hold 8 MB, unless the session has its own size. Results don't depend on
+    """While an action of ours runs, Spark's buffers for Python hold 4 MB, unless the session has its own size. Results don't depend on
     it."""
     if spark.conf.get(_BATCH, None) is not None:
         yield
         return
-    spark.conf.set(_BATCH, "8m")
+    spark.conf.set(_BATCH, "4m")
     try:
         yield
     finally:

@@ -58,7 +58,7 @@ ORDER = 3
 TOP = 5
 CHUNK = 500_000
 SPARE = 20
-REMEMBER = 500_000
+REMEMBER = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: The start and the end of a text; no word has white space.
 START, END = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b"\t", b"\n"))

@@ -45,12 +45,14 @@ from .components import connected
 
 LEAST_BITS, SKETCH_BITS, SKETCH_BLOCKS = 18, 24, 256
 MOST_MATCH, VERIFY_COST = 4, 8.0
+#: Documents that a task counts before it hands its counts on.
+SKETCHED = 30_000
 STAR = 16
 #: A class is near a pivot if at most this share of its shingles is not the pivot's.
 NEAR = 0.35
 #: Ids up to this number are sent to all executors to pick the sets to verify; beyond, they are joined.
 BROADCAST_IDS = 1_000_000
-REMEMBER = 500_000
+REMEMBER = 150_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -110,12 +112,17 @@ def sketch(rows: DataFrame, width: int, bits: int) -> Sketch:
         return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()), pa.array([zlib.compress(x.tobytes(), 1) for x in parts.values()], pa.binary())], names=["block", "counts"])
 
     def count(batches):
-        shingler, total = Shingler(width), np.zeros(size, np.uint32)
+        shingler, total, docs = Shingler(width), np.zeros(size, np.uint16), 0
+        own = total.reshape(SKETCH_BLOCKS, block)
+        full = lambda: blocks({int(i): own[i].astype(np.uint32) for i in np.flatnonzero(own.any(axis=1))})
         for batch in small(batches):
             for text in batch.column(0).to_pylist():
-                np.add.at(total, (shingler.hashes(text) >> np.uint64(64 - bits)).astype(np.int64), np.uint32(1))
-        own = total.reshape(SKETCH_BLOCKS, block)
-        yield blocks({int(i): own[i] for i in np.flatnonzero(own.any(axis=1))})
+                np.add.at(total, (shingler.hashes(text) >> np.uint64(64 - bits)).astype(np.int64), np.uint16(1))
+            docs += batch.num_rows
+            if docs >= SKETCHED:  # before 16 bits are full
+                yield full()
+                total[:], docs = 0, 0
+        yield full()
 
     def add(batches):
         total: dict[int, np.ndarray] = {}
