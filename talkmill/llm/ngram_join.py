@@ -115,7 +115,7 @@ def sketch(rows: DataFrame, width: int, bits: int) -> Sketch:
         shingler, total, docs = Shingler(width), np.zeros(size, np.uint16), 0
         own = total.reshape(SKETCH_BLOCKS, block)
         full = lambda: blocks({int(i): own[i].astype(np.uint32) for i in np.flatnonzero(own.any(axis=1))})
-        for batch in small(batches):
+        for batch in small(batches, 250, 2 << 20):
             for text in batch.column(0).to_pylist():
                 np.add.at(total, (shingler.hashes(text) >> np.uint64(64 - bits)).astype(np.int64), np.uint16(1))
             docs += batch.num_rows
@@ -159,7 +159,7 @@ def classes(rows: DataFrame, width: int, percent: int, counts: Sketch) -> DataFr
 
     def run(batches):
         shingler, df = Shingler(width), table.value
-        for batch in small(batches):
+        for batch in small(batches, 250, 2 << 20):
             out = []
             for text in batch.column(1).to_pylist():
                 h = shingler.hashes(text)
@@ -184,7 +184,7 @@ def sets_of(rows: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         shingler = Shingler(width)
-        for batch in small(batches):
+        for batch in small(batches, 250, 2 << 20):
             if ids is not None:
                 have = np.isin(np.asarray(batch.column(0).fill_null(-1)), ids.value) & np.asarray(batch.column(0).is_valid())
                 batch = batch.filter(pa.array(have))
