@@ -301,16 +301,6 @@ def repeat_in_batch(spark, d):
     return judge.repeats_in_batch(chat_batches(spark, d), ["file", "batch_idx"]).select("conv_id", "repeat")
 
 
-@query(f"SELECT {_B} AS comment, CAST(count(DISTINCT {_A}) AS BIGINT) AS posts FROM ({_PAIRS}) GROUP BY 1 HAVING count(DISTINCT {_A}) >= 2")
-def generic_comments(spark, d):
-    return judge.generic_comments(chats(spark, d))
-
-
-@query(f"SELECT md5({_A} || chr(10) || {_B}) AS pair, CAST(count(*) AS BIGINT) AS n FROM ({_PAIRS}) GROUP BY 1 HAVING count(*) >= 2")
-def boilerplate_pairs(spark, d):
-    return judge.boilerplate(chats(spark, d))
-
-
 @query(
     f"SELECT conv_id, CAST(len(list_intersect(a, b)) AS DOUBLE) / len(list_distinct(list_concat(a, b))) AS overlap FROM (SELECT conv_id, list_distinct(string_split({_A}, ' ')) AS a, list_distinct(string_split({_B}, ' ')) AS b FROM ({_PAIRS}))"
 )
@@ -610,22 +600,22 @@ def assistant_rule(spark, d):
 
 
 def answered(spark, d):
-    """Conversations whose comment is one of seven, and whose post is one of eleven or their own."""
+    """Conversations whose comment is one of five, and whose post is one of four or their own."""
     turns = table(spark, d, "conversations").where("turn < 2")
-    text = F.when(F.col("turn") == 1, F.concat(F.lit("Answer, no. "), (F.col("conv_id") % 7).cast("string"))).when(F.col("conv_id") % 3 == 0, F.concat(F.lit("Post "), (F.col("conv_id") % 11).cast("string"))).otherwise(F.concat(F.lit("Own "), F.col("conv_id").cast("string")))
+    text = F.when(F.col("turn") == 1, F.concat(F.lit("Answer, no. "), (F.col("conv_id") % 5).cast("string"))).when(F.col("conv_id") % 3 == 0, F.concat(F.lit("Post "), (F.col("conv_id") % 4).cast("string"))).otherwise(F.concat(F.lit("Own "), F.col("conv_id").cast("string")))
     return examples.conversations_to_examples(turns.withColumn("text", text))
 
 
-_ANSWERED = "SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN 'post ' || (conv_id % 11) ELSE 'own ' || conv_id END AS post, 'answer no ' || (conv_id % 7) AS comment FROM (SELECT conv_id FROM conversations WHERE turn < 2 GROUP BY conv_id HAVING count(*) = 2)"
+_ANSWERED = "SELECT conv_id, CASE WHEN conv_id % 3 = 0 THEN 'post ' || (conv_id % 4) ELSE 'own ' || conv_id END AS post, 'answer no ' || (conv_id % 5) AS comment FROM (SELECT conv_id FROM conversations WHERE turn < 2 GROUP BY conv_id HAVING count(*) = 2)"
 
 
 @query(f"SELECT comment, CAST(count(DISTINCT post) AS BIGINT) AS posts FROM ({_ANSWERED}) GROUP BY comment HAVING count(DISTINCT post) >= 3")
-def generic_answers(spark, d):
+def generic_comments(spark, d):
     return judge.generic_comments(answered(spark, d), 3)
 
 
 @query(f"SELECT md5(post || chr(10) || comment) AS pair, CAST(count(*) AS BIGINT) AS n FROM ({_ANSWERED}) GROUP BY 1 HAVING count(*) >= 2")
-def repeated_pairs(spark, d):
+def boilerplate_pairs(spark, d):
     return judge.boilerplate(answered(spark, d), 2)
 
 
