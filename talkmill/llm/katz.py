@@ -311,16 +311,12 @@ class Katz:
         d = np.where(c <= TOP, self.d[0][np.minimum(c, TOP)], 1.0)
         return np.where(c > 0, d * c / max(1, self.total), self.unknown)
 
-    def weights(self, k: int, c: np.ndarray, rare: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
-        """For histories of order k n-grams, rows of: log10 of what is left over the denominator; what the followers have of the
-        order below, in discounted counts; log10 of c(h) over the denominator; the denominator. rare: followers seen r times
-        after h (r = 1 ... TOP); high: sum of the counts below of followers whose count below is more than TOP; low: followers
-        with count r below."""
+    def weights(self, k: int, rare: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """For histories of order k n-grams, rows of: what the discounts leave of their counts; what the followers have of the order
+        below, in discounted counts. rare: followers seen r times after h (r = 1 ... TOP); high: sum of the counts below of
+        followers whose count below is more than TOP; low: followers with count r below."""
         r = np.arange(1, TOP + 1)
-        left = (rare * (r * (1 - self.d[k - 1][1:]))).sum(axis=1)
-        below = np.maximum(np.where(left > 0, c, c + 1), 1)
-        left = np.where(left > 0, left, 1.0)
-        return np.stack([np.log10(left / below), high + (low * (r * self.d[k - 2][1:])).sum(axis=1), np.log10(np.maximum(c, 1) / below), below.astype(float)])
+        return np.stack([(rare * (r * (1 - self.d[k - 1][1:]))).sum(axis=1), high + (low * (r * self.d[k - 2][1:])).sum(axis=1)])
 
 
 def counted_in(k: int, c: Chunk, counts: list[np.ndarray], has_rare: list[np.ndarray], level: np.ndarray):
@@ -379,17 +375,16 @@ def first_scores(joined: DataFrame, model: Katz, orders: int) -> DataFrame:
                     mine = np.flatnonzero(owned[k - 1])
                     mine = mine[needed[k - 2][own.history[own.some[mine]]]]
                     h, n, low = own.history[own.some[mine]], counts[k - 1][mine], counts[k - 2][names.at[own.some[mine]]]
-                    lists = np.zeros((size, 3 + 2 * TOP), np.int64)
-                    lists[:, 0], lists[:, 1] = need[k], counts[k - 2]
-                    lists[:, 2] = np.bincount(h, np.where(low > TOP, low, 0), size).astype(np.int64)
+                    lists = np.zeros((size, 1 + 2 * TOP), np.int64)
+                    lists[:, 0] = np.bincount(h, np.where(low > TOP, low, 0), size).astype(np.int64)
                     for r in range(1, TOP + 1):
-                        lists[:, 2 + r] = np.bincount(h[n == r], minlength=size)
-                        lists[:, 2 + TOP + r] = np.bincount(h[low == r], minlength=size)
+                        lists[:, r] = np.bincount(h[n == r], minlength=size)
+                        lists[:, TOP + r] = np.bincount(h[low == r], minlength=size)
                     adds = np.zeros(size, bool)
                     adds[h] = True
                     go = np.flatnonzero(need[k] | adds)
-                    sent, lists = names.keys[go], lists[go]
-                    rows += [(0, k, b, chunk, pack_sorted(sent[i:j]), [pack(np.ascontiguousarray(x)) for x in lists[i:j].T], None) for b, i, j in parts(sent, model.bits, names.width)]
+                    sent, lists, asks = names.keys[go], lists[go], need[k][go]
+                    rows += [(0, k, b, chunk, pack_sorted(sent[i:j]), [_bits(asks[i:j]), *(pack(np.ascontiguousarray(x)) if x.any() else b"" for x in lists[i:j].T)], None) for b, i, j in parts(sent, model.bits, names.width)]
                     wanted = np.flatnonzero(need[k])
                     at, often = waits[k]
                     lower, lower_c = np.full(len(wanted), -1), np.zeros(len(wanted), np.int64)
@@ -398,7 +393,7 @@ def first_scores(joined: DataFrame, model: Katz, orders: int) -> DataFrame:
                         asked = need[k - 1][s]
                         lower[asked] = np.searchsorted(np.flatnonzero(need[k - 1]), s[asked])
                         lower_c = counts[k - 3][s]
-                    data += [pack(x.astype(np.int64)) for x in (c.doc[at], np.searchsorted(wanted, own.history[at]), often, lower, lower_c)]
+                    data += [pack(x.astype(np.int64)) for x in (c.doc[at], np.searchsorted(wanted, own.history[at]), often, lower, lower_c, counts[k - 2][wanted])]
                 rows.append((1, 0, -1, chunk, None, data, docs))
                 kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["kind", "level", "bucket", "chunk", "keys", "data", "docs"])
@@ -424,17 +419,16 @@ def history_weights(sums: DataFrame, model: Katz) -> DataFrame:
 
     def add(key, table):
         keys = [unpack_sorted(x) for x in table.column("keys").to_pylist()]
-        every = np.concatenate([np.stack([unpack(y) for y in x], axis=1) for x in table.column("data").to_pylist()])
+        data = table.column("data").to_pylist()
+        every = np.concatenate([np.stack([unpack(y) if y else np.zeros(len(k), np.int64) for y in x[1:]], axis=1) for x, k in zip(data, keys)])
         names, where = np.unique(np.concatenate(keys), return_inverse=True)
         order = np.argsort(where, kind="stable")
         total = np.add.reduceat(every[order], np.searchsorted(where[order], np.arange(len(names))), axis=0)
-        count = np.zeros(len(names), np.int64)
-        count[where] = every[:, 1]
         level, bucket = key[0].as_py(), key[1].as_py()
-        got = model.weights(level, count, total[:, 3 : 3 + TOP], total[:, 2], total[:, 3 + TOP :])
+        got = model.weights(level, total[:, 1 : 1 + TOP], total[:, 0], total[:, 1 + TOP :])
         ends, rows = np.cumsum([len(x) for x in keys]), []
-        for chunk, k, j in zip(table.column("chunk").to_pylist(), keys, ends):
-            at = where[j - len(k) : j][every[j - len(k) : j, 0] > 0]
+        for chunk, k, j, x in zip(table.column("chunk").to_pylist(), keys, ends, data):
+            at = where[j - len(k) : j][_unbits(x[0], len(k))]
             if len(at):
                 rows.append((chunk, level, bucket, None, _packed(got[:, at])))
         return _weights([*rows, (-2, level, bucket, pack_sorted(names), _packed(got))])
@@ -464,16 +458,17 @@ def last_scores(joined: DataFrame, model: Katz, orders: int) -> DataFrame:
                 score = score.view(np.float64).copy()
                 below = None
                 for k in range(2, orders + 1):
-                    doc, place, often, lower, lower_c = map(unpack, data[5 * k - 5 : 5 * k])
+                    doc, place, often, lower, lower_c, count = map(unpack, data[6 * k - 7 : 6 * k - 1])
                     own = sorted((x for x in got or [] if x["level"] == k), key=lambda x: x["bucket"])
-                    left, seen, more, now = (np.concatenate([np.zeros(0), *(unpack(x["weights"][i], np.float64) for x in own)]) for i in range(4))
+                    left, seen = (np.concatenate([np.zeros(0), *(unpack(x["weights"][i], np.float64) for x in own)]) for i in range(2))
                     under = np.full(len(left), float(max(1, model.total))) if k == 2 else np.maximum(lower_c, 1).astype(float)
                     if k > 2 and (lower >= 0).any():
                         under[lower >= 0] = below[lower[lower >= 0]]
-                    weight = left - np.log10(np.maximum(1.0 - seen / under, 1e-300))
+                    # where the discounts leave nothing, the denominator is one larger
+                    below = np.maximum(np.where(left > 0, count, count + 1), 1).astype(float)
+                    weight = np.log10(np.where(left > 0, left, 1.0) / below) - np.log10(np.maximum(1.0 - seen / under, 1e-300))
                     if len(doc):
-                        score += np.bincount(doc, np.where(often > 0, more[place], weight[place]), len(docs))
-                    below = now
+                        score += np.bincount(doc, np.where(often > 0, np.log10(np.maximum(count, 1) / below)[place], weight[place]), len(docs))
                 yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(held > 0), pa.array(lens), pa.array(known), pa.array(np.full(len(docs), model.n)), pa.array(base.view(np.float64)), pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return joined.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
