@@ -56,7 +56,7 @@ from .common import Scratch, bucket_bits, crc_mod, documents, lean, lower_ascii,
 
 ORDER = 3
 TOP = 5
-CHUNK = 500_000
+CHUNK = 750_000
 SPARE = 20
 REMEMBER = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
