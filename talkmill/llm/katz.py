@@ -56,7 +56,7 @@ from .common import Scratch, bucket_bits, crc_mod, documents, lean, lower_ascii,
 
 ORDER = 3
 TOP = 5
-CHUNK = 750_000
+CHUNK = 600_000
 SPARE = 20
 REMEMBER = 200_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -370,21 +370,17 @@ def first_scores(joined: DataFrame, model: Katz, orders: int) -> DataFrame:
                 rows, data = [], [pack(c.lens), pack(c.held.astype(np.int64)), pack(known), pack(base.view(np.int64)), pack(score.view(np.int64))]
                 for k in range(2, orders + 1):
                     own, names = c.levels[k - 1], c.levels[k - 2]
-                    size = len(names.keys)
                     # what this chunk's own n-grams add to the sums of their histories
                     mine = np.flatnonzero(owned[k - 1])
                     mine = mine[needed[k - 2][own.history[own.some[mine]]]]
                     h, n, low = own.history[own.some[mine]], counts[k - 1][mine], counts[k - 2][names.at[own.some[mine]]]
-                    lists = np.zeros((size, 1 + 2 * TOP), np.int64)
-                    lists[:, 0] = np.bincount(h, np.where(low > TOP, low, 0), size).astype(np.int64)
-                    for r in range(1, TOP + 1):
-                        lists[:, r] = np.bincount(h[n == r], minlength=size)
-                        lists[:, TOP + r] = np.bincount(h[low == r], minlength=size)
-                    adds = np.zeros(size, bool)
-                    adds[h] = True
-                    go = np.flatnonzero(need[k] | adds)
-                    sent, lists, asks = names.keys[go], lists[go], need[k][go]
-                    rows += [(0, k, b, chunk, pack_sorted(sent[i:j]), [_bits(asks[i:j]), *(pack(np.ascontiguousarray(x)) if x.any() else b"" for x in lists[i:j].T)], None) for b, i, j in parts(sent, model.bits, names.width)]
+                    sends = need[k].copy()
+                    sends[h] = True
+                    go, h = np.flatnonzero(sends), (np.cumsum(sends) - 1)[h]
+                    sums = [np.bincount(h, np.where(low > TOP, low, 0), len(go)).astype(np.int64)]
+                    sums += [np.bincount(h[x == r], minlength=len(go)) for x in (n, low) for r in range(1, TOP + 1)]
+                    sent, asks = names.keys[go], need[k][go]
+                    rows += [(0, k, b, chunk, pack_sorted(sent[i:j]), [_bits(asks[i:j]), *(pack(x[i:j]) if x[i:j].any() else b"" for x in sums)], None) for b, i, j in parts(sent, model.bits, names.width)]
                     wanted = np.flatnonzero(need[k])
                     at, often = waits[k]
                     lower, lower_c = np.full(len(wanted), -1), np.zeros(len(wanted), np.int64)
