@@ -6,6 +6,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from talkmill.llm import edit_distance, line_dedup, ngram_join
 from talkmill.llm.common import Scratch, words_of
@@ -172,6 +173,22 @@ def test_line_dedup_keeps_documents_with_short_lines(spark):
     assert {r.doc_id: r.text for r in out} == {1: LONG, 2: "milk and eggs\nbread", 4: rows[3][1].split("\n")[1], 5: "\u2026"}
 
 
+def in_one_list(count, seed):
+    """(a line, a near copy of it) so many times, all unlike: their one long word is the same, so all meet in the same lists and
+    nowhere else."""
+    rng = random.Random(seed)
+    lines = ["all standing for " + " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=4)) for _ in range(12)) for _ in range(count)]
+    return [(x, x[:-1] + "0") for x in lines]
+
+
+def test_line_dedup_lists_hold_all_classes_of_a_frequent_key(spark):
+    lines = [x for k in (0, 1) for x in [p[k] for p in in_one_list(100, 7)]]
+    rows = spark.sparkContext.parallelize([(i, i, x) for i, x in enumerate(lines)], 2).toDF("id long, th long, text string")
+    found = line_dedup.unpacked(line_dedup.packed_lines(rows, line_dedup.LEAST_WORDS, 4), 4, 80)
+    members = {r.key: r.n for r in found.where("kind = 2").groupBy("key").agg(F.countDistinct("h").alias("n")).collect()}
+    assert members and set(members.values()) == {200}
+
+
 def test_blocks_find_all_within_reach():
     rng = random.Random(1)
     edges = [64 * i // line_dedup.BLOCKS for i in range(line_dedup.BLOCKS + 1)]
