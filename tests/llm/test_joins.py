@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,6 +190,34 @@ def test_line_dedup_lists_hold_all_classes_of_a_frequent_key(spark):
     assert members and set(members.values()) == {200}
 
 
+@pytest.mark.parametrize("part", [line_dedup.PART, 800])
+def test_line_dedup_compares_large_lists_whole(spark, monkeypatch, part):
+    monkeypatch.setattr(line_dedup, "PART", part)
+    pairs = in_one_list(40, 8)
+    df = spark.createDataFrame([(i + 1000 * k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {i + 1000 * k: k for i in range(40) for k in (0, 1)}
+
+
+def test_unlike_lines_are_told_many_at_once():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcd\u00e9\u4e2d", k=rng.randint(1, 6)))
+    lines = []
+    for n in (1, 3, 12, 30, 80, 600):
+        for _ in range(8):
+            w = [word() for _ in range(n)]
+            lines.append(" ".join(w))
+            for share in (0.05, 0.2, 0.4):
+                lines.append(" ".join(word() if rng.random() < share else x for x in w))
+    a, b = np.array([(i, j) for i in range(len(lines)) for j in range(len(lines)) if i // 32 == j // 32]).T
+    for percent in (60, 80):
+        true = np.array([edit_distance.similar(lines[i], lines[j], percent) for i, j in zip(a, b)])
+        coded = edit_distance.Lines(lines)
+        unlike = coded.unlike(a, b, percent, 100)
+        assert not (unlike & true).any() and unlike.sum() > 0.5 * (~true).sum() and (true & (a != b)).sum() > 50
+        assert (coded.similar(a, b, percent) == true).all()
+
+
 def test_blocks_find_all_within_reach():
     rng = random.Random(1)
     edges = [64 * i // line_dedup.BLOCKS for i in range(line_dedup.BLOCKS + 1)]
