@@ -218,6 +218,20 @@ def test_unlike_lines_are_told_many_at_once():
         assert (coded.similar(a, b, percent) == true).all()
 
 
+def test_normal_forms_are_those_of_the_words():
+    rng = random.Random(9)
+    for _ in range(2000):
+        text = "".join(rng.choices("aZ_9 \n\t\r\x1c.-'\u00e9\u00c9\u0130\u03a3\u4e2d\u0301\u00a0\u2028\ud800\u00b2\x00", k=rng.randint(0, 40)))
+        text = text if rng.random() < 0.5 else "".join(c for c in text if c.isascii() or c.isalpha())
+        want = [(i, " ".join(words).encode("utf-8", "surrogatepass")) for i, words in line_dedup.normal_lines(text)]
+        assert line_dedup.normal_forms(text) == want
+        if want:
+            h, sizes = line_dedup.word_hashes([x for _, x in want])
+            words = [w for _, x in want for w in x.split(b" ")]
+            assert sizes.sum() == len(h) == len(words) and len(set(zip(words, h.tolist()))) == len(set(words)) == len(set(h.tolist()))
+            assert [int(x) & 1 for x in h] == [len(w.decode("utf-8", "surrogatepass")) >= line_dedup.LONG for w in words]
+
+
 def test_blocks_find_all_within_reach():
     rng = random.Random(1)
     edges = [64 * i // line_dedup.BLOCKS for i in range(line_dedup.BLOCKS + 1)]
