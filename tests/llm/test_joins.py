@@ -218,6 +218,25 @@ def test_unlike_lines_are_told_many_at_once():
         assert (coded.similar(a, b, percent) == true).all()
 
 
+def test_pairs_of_lines_are_decided_many_at_once():
+    """Without a look at each: bands of all widths, few and many pairs, edits up to what is allowed and beyond."""
+    rng = random.Random(6)
+    lines = []
+    for n in (1, 5, 63, 64, 65, 319, 320, 640, 1000, 1999):
+        lines.append("".join(rng.choices("abcdefgh ", k=n)))
+        for share in (0.02, 0.15, 0.2, 0.21, 0.4):
+            x = list(lines[len(lines) // 6 * 6])
+            for i in rng.sample(range(n), int(n * share)):
+                x[i] = rng.choice(["", x[i] + "z", "y"])
+            lines.append("".join(x)[:2000] or "a")
+    a, b = np.array([(i, j) for i in range(len(lines)) for j in range(len(lines)) if abs(i - j) < 12]).T
+    coded = edit_distance.Lines(lines)
+    for percent in (60, 80):
+        true = np.array([edit_distance.similar(lines[i], lines[j], percent) for i, j in zip(a, b)])
+        assert (coded.unlike(a, b, percent, 50) == ~true).all() and (true & (a != b)).sum() > 60
+        assert all((x == true).all() for likely in (False, True) for x in coded.told(a, b, percent, likely))
+
+
 def test_normal_forms_are_those_of_the_words():
     rng = random.Random(9)
     for _ in range(2000):
