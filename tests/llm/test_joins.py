@@ -2,6 +2,7 @@
 
 import os
 import random
+import time
 from collections import defaultdict
 from itertools import combinations
 
@@ -199,6 +200,42 @@ def test_line_dedup_compares_large_lists_whole(spark, monkeypatch, part):
     assert got == {i + 1000 * k: k for i in range(40) for k in (0, 1)}
 
 
+def test_line_dedup_makes_its_lists_in_rounds(spark):
+    lines = [x for k in (0, 1) for x in [p[k] for p in in_one_list(100, 9)]]
+    rows = spark.sparkContext.parallelize([(i, i, x) for i, x in enumerate(lines)], 2).toDF("id long, th long, text string")
+    packed = line_dedup.packed_lines(rows, line_dedup.LEAST_WORDS, 4).cache()
+    kinds = lambda found: {tuple(r) for r in found.where("kind >= 2").select("kind", "key", "p", "h", "sim").collect()}
+    parts = [kinds(line_dedup.unpacked(packed.where("kind = 2"), 4, 80, nth)) for nth in range(line_dedup.ROUNDS)]
+    listed = [{x[1] for x in part} - {None} for part in parts]
+    assert sum(map(len, listed)) == len(set().union(*listed)) and sum(map(bool, listed)) > 1
+    assert set().union(*parts) == kinds(line_dedup.unpacked(packed, 4, 80))
+    packed.unpersist()
+
+
+def test_line_dedup_compares_large_lists_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "ROUND_CHARS", 1000)
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", 0)
+    pairs = in_one_list(40, 10)
+    df = spark.createDataFrame([(i + 1000 * k, p[k]) for i, p in enumerate(pairs) for k in (0, 1)], "doc_id long, text string")
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(df).collect()}
+    assert got == {i + 1000 * k: k for i in range(40) for k in (0, 1)}
+
+
+def test_shuffle_files_go_at_release(spark):
+    jvm, scratch = spark._jvm, Scratch(spark)
+    files = lambda: {f.getName() for f in jvm.scala.jdk.javaapi.CollectionConverters.asJava(jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before = files()
+    kept = scratch.keep(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count())
+    assert files() - before
+    scratch.release()
+    for _ in range(20):
+        if not files() - before:
+            break
+        time.sleep(0.25)
+    assert not files() - before
+    scratch.drop(kept)
+
+
 def test_unlike_lines_are_told_many_at_once():
     rng = random.Random(4)
     word = lambda: "".join(rng.choices("abcd\u00e9\u4e2d", k=rng.randint(1, 6)))
